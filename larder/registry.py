@@ -1,0 +1,92 @@
+"""Names of the registered queries, bound to the test tables and their parameters."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from larder.plans import customers, products, sales
+from larder.sources.testdata import TestTables
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def present(df: DataFrame) -> DataFrame:
+    """Decimals as doubles (at most six decimals), for engines without a common decimal type."""
+    shown = []
+    for field in df.schema.fields:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, T.DecimalType):
+            column = (F.round(column, 6) if field.dataType.scale > 6 else column).cast("double")
+        shown.append(column.alias(field.name))
+    return df.select(*shown)
+
+
+def _bind(plan: Callable[..., DataFrame], **params) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return present(plan(TestTables(spark, sf_dir), **params))
+
+    run.__name__, run.__doc__ = plan.__name__, plan.__doc__
+    return run
+
+
+def business() -> dict[str, Query]:
+    return {
+        "m1q1_overview": _bind(sales.overview),
+        "m1q2_monthly_orders": _bind(sales.monthly_orders),
+        "m1q3_avg_basket": _bind(products.average_basket),
+        "m1q4_top_products": _bind(products.top_products),
+        "m1q5_no_return_customers": _bind(customers.with_unreturned_order),
+        "m1q5b_never_returned": _bind(customers.never_returned),
+        "m2q1_top_customers": _bind(customers.top_customers),
+        "m2q2_top3_by_membership": _bind(customers.top_by_membership),
+        "m2q3_lapsed_90d": _bind(customers.lapsed, as_of="2001-08-01"),
+        "m2q4_top5_by_area": _bind(customers.top_by_area),
+        "m2q5_above_avg_products": _bind(products.above_average),
+        "m3q1_mom_revenue": _bind(sales.month_over_month),
+        "m3q2_running_revenue": _bind(sales.running_revenue),
+        "m3q3_moving_avg_7d": _bind(sales.moving_average),
+        "m3q4_top_product_by_category": _bind(products.best_in_category),
+        "m3q5_pareto_80": _bind(products.pareto),
+        "m4q1_spend_segments": _bind(
+            customers.spend_segments, premium=3_000_000, gold_from=2_000_000, gold_to=2_999_999
+        ),
+        "m4q2_payment_methods": _bind(sales.payment_methods),
+        "m4q3_order_status": _bind(sales.order_status),
+        "m4q4_store_performance": _bind(sales.store_performance),
+        "m4q5_monthly_category": _bind(sales.category_by_month),
+        "m5q1_new_vs_repeat": _bind(customers.new_and_repeat),
+        "m5q2_top5_monthly": _bind(customers.top_by_month),
+        "m5q3_purchase_frequency": _bind(customers.purchase_frequency),
+        "m5q4_churn_risk": _bind(customers.churn_risk, as_of="2001-08-01", active_as_of="2001-07-05"),
+        "m5q5_membership_aov": _bind(customers.membership_value),
+        "m6q1_penetration": _bind(products.penetration),
+        "m6q2_category_share": _bind(products.category_share),
+        "m6q3_discount_bands": _bind(products.discount_bands, low=1000, high=3000),
+        "m6q4_underperformers": _bind(products.underperformers),
+        "m6q5_category_mom": _bind(sales.category_month_over_month),
+        "m7q1_product_pairs": _bind(products.product_pairs),
+        "m7q2_basket_sizes": _bind(products.basket_sizes),
+        "m7q3_top3_stores_monthly": _bind(sales.top_stores_by_month),
+        "m7q4_top_customer_by_category": _bind(customers.top_in_category),
+        "m7q5_bought_a_not_b": _bind(customers.bought_first_not_second, name_a="red plate", name_b="small widget"),
+        "m8q1_cohort_retention": _bind(customers.cohort_retention),
+        "m8q2_reactivation": _bind(customers.reactivations),
+        "m8q3_clv": _bind(customers.lifetime_value),
+        "m8q4_underperformers_again": _bind(products.underperformers),
+        "m8q4b_repeat_purchase_rate": _bind(customers.repeat_purchase_rate),
+        "m8q5_top10_share": _bind(customers.top_share),
+    }
+
+
+def queries() -> dict[str, Query]:
+    return {**business()}
+
+
+def oracle_sql() -> dict[str, str]:
+    from larder.oracle.business import business as business_sql
+
+    return {**business_sql()}
