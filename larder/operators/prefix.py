@@ -14,17 +14,33 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-BUCKET_BITS = 20
+BUCKET_BITS = 22
 
 
-def level_columns(key: Column, depth: int = 3) -> list[Column]:
+def level_columns(key: Column, depth: int = 2) -> list[Column]:
     """Nested buckets of a whole-number key, coarse to fine; the last is the key."""
     return [F.shiftright(key, BUCKET_BITS * d) for d in range(depth - 1, 0, -1)] + [key]
 
 
+def id_buckets(df: DataFrame, column: str) -> Column:
+    """A coarse bucket of an id that agrees with the id's own order: high bits, or leading characters."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.IntegralType):
+        return F.shiftright(F.col(column).cast("bigint"), BUCKET_BITS)
+    if isinstance(kind, T.StringType):
+        return F.substring(column, 1, 5)
+    raise TypeError(f"{column}: ids are whole numbers or strings, not {kind.simpleString()}")
+
+
 def exclusive_totals(
-    cells: DataFrame, group: Sequence[str], levels: Sequence[str], value: str, out: str = "before"
+    cells: DataFrame,
+    group: Sequence[str],
+    levels: Sequence[str],
+    value: str,
+    out: str = "before",
+    descending: bool = False,
 ) -> DataFrame:
     """Add ``out``: the sum of ``value`` over the cells of the group that sort earlier.
 
@@ -33,12 +49,13 @@ def exclusive_totals(
     group, levels = list(group), list(levels)
     zero = F.lit(0)
     outer_keys = group + levels[:-1]
-    local = Window.partitionBy(*outer_keys).orderBy(levels[-1]).rowsBetween(Window.unboundedPreceding, -1)
+    by = F.col(levels[-1]).desc() if descending else F.col(levels[-1])
+    local = Window.partitionBy(*outer_keys).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
     if len(levels) == 1:
         return cells.withColumn(out, F.coalesce(F.sum(value).over(local), zero))
     outer = cells.groupBy(*outer_keys).agg(F.sum(value).alias(value))
     offset = f"_offset{len(levels)}"
-    offsets = exclusive_totals(outer, group, levels[:-1], value, offset).select(*outer_keys, offset)
+    offsets = exclusive_totals(outer, group, levels[:-1], value, offset, descending).select(*outer_keys, offset)
     return (
         cells.join(offsets, outer_keys)
         .withColumn(out, F.col(offset) + F.coalesce(F.sum(value).over(local), zero))
@@ -46,11 +63,11 @@ def exclusive_totals(
     )
 
 
-def running_total(df: DataFrame, key: Column, value: str, out: str, depth: int = 3) -> DataFrame:
+def running_total(df: DataFrame, key: Column, value: str, out: str, depth: int = 2) -> DataFrame:
     """Running sum of ``value`` in ascending order of a whole-number key, peers included.
 
     Rows with equal keys share one total, as in a RANGE frame up to the current
-    row. Equal keys are merged before ranking and matched back afterwards.
+    row. Equal keys are merged before the sums and matched back afterwards.
     """
     names = [f"_level{i}" for i in range(depth)]
     keyed = df.withColumn(names[-1], key)
@@ -65,22 +82,28 @@ def running_total(df: DataFrame, key: Column, value: str, out: str, depth: int =
 
 
 def ordered_rank(
-    df: DataFrame, group: Sequence[str], levels: Sequence[Column], order: Sequence[Column], out: str = "rank"
+    df: DataFrame,
+    group: Sequence[str],
+    levels: Sequence[Column],
+    order: Sequence[Column],
+    out: str = "rank",
+    descending: bool = False,
 ) -> DataFrame:
     """1-based row number within the group, for groups of any size.
 
     ``levels`` are non-null bucket expressions that agree with ``order``: rows of
-    an earlier bucket sort before rows of a later one.
+    an earlier bucket sort before rows of a later one. ``descending`` turns the
+    order of the buckets; ``order`` states its own directions.
     """
     names = [f"_bucket{i}" for i in range(len(levels))]
     keyed = df.select("*", *[c.alias(n) for n, c in zip(names, levels)])
     keys = [*group, *names]
     cells = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    offsets = exclusive_totals(cells, group, names, "_rows").select(*keys, "before")
+    offsets = exclusive_totals(cells, group, names, "_rows", descending=descending).select(*keys, "before")
     local = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return keyed.join(offsets, keys).withColumn(out, (F.col("before") + local).cast("bigint")).drop(*names, "before")
 
 
 def sequence_number(df: DataFrame, key: str, out: str = "sequence") -> DataFrame:
-    """1-based position of each row in ascending order of a unique whole-number key."""
-    return ordered_rank(df, [], level_columns(F.col(key))[:-1], [F.col(key)], out)
+    """1-based position of each row in ascending order of a unique, non-null id."""
+    return ordered_rank(df, [], [id_buckets(df, key)], [F.col(key)], out)

@@ -1,0 +1,20 @@
+"""Looking at group sizes before choosing a plan."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A group up to this many rows is left to one task's window or sort.
+GROUP_ROWS = 1_000_000
+
+
+def largest_group(df: DataFrame, *keys: str) -> int:
+    """Row count of the largest group: one pass over the key columns, one number to the driver."""
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+    return sizes.agg(F.max("rows")).first()[0] or 0
+
+
+def large_groups(df: DataFrame, keys: list[str], limit: int) -> DataFrame:
+    """Keys of the groups above ``limit`` rows; there are at most rows / limit of them."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > limit).select(*keys)
