@@ -9,12 +9,11 @@ from pyspark.sql import functions as F
 
 from larder.functions.catalogue import PERISHABLE_STORAGE
 from larder.functions.money import cents
+from larder.operators.materialize import checkpointed
 from larder.operators.prefix import id_buckets, ordered_rank
-from larder.operators.ranking import top_rows
+from larder.operators.ranking import MAP_SIDE_RANK, top_rows
 from larder.operators.skew import GROUP_ROWS, large_groups, largest_group
 
-# Per-group samples up to this size are cut on the map side.
-SMALL_QUOTA = 10_000
 HASH_BITS = 52
 
 
@@ -87,17 +86,20 @@ def allocate_discount(
     if large is None:
         return result
 
+    # A stored row id tells copies of a line apart, so that even they spread over tasks.
+    large = checkpointed(large.withColumn("_row", F.monotonically_increasing_id()))
     totals = large.groupBy(order).agg(F.sum(subtotal).alias("_gross"), F.count(F.lit(1)).alias("_lines"))
     shares = large.join(totals.join(goal, order), order).withColumn(
         "_share", _proportional(F.col("_gross") - F.col("_target"), F.col(subtotal), F.col("_gross"))
     )
     spread = shares.groupBy(order).agg(F.sum("_share").alias("_shared"))
     whole_cents = cents(F.col(subtotal))
+    levels = [F.shiftright(whole_cents, 20), whole_cents, id_buckets(lines, item), F.col(item), *map(F.col, ties)]
     placed = ordered_rank(
         shares,
         [order],
-        [F.shiftright(whole_cents, 20), whole_cents, id_buckets(lines, item)],
-        [F.col(c).desc() for c in (item, *ties)],
+        [*levels, F.shiftright("_row", 20)],
+        [F.col("_row").desc()],
         "_position",
         descending=True,
     )
@@ -174,7 +176,7 @@ def first_of_each(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
 
 
 def with_unique_sku(df: DataFrame, base: str, key: str, out: str = "sku") -> DataFrame:
-    """Number repeated base SKUs: the first, by ``key``, keeps it, later ones get -1, -2, ..."""
+    """Number repeated base SKUs: the first, by the unique ``key``, keeps it, later ones get -1, -2, ..."""
     ranked = ordered_rank(df, [base], [id_buckets(df, key)], [F.col(key)], "_nth")
     numbered = F.concat_ws("-", F.col(base), (F.col("_nth") - 1).cast("string"))
     return ranked.withColumn(out, F.when(F.col("_nth") == 1, F.col(base)).otherwise(numbered)).drop("_nth")
@@ -192,7 +194,7 @@ def hashed(key: Column, seed: int) -> Column:
 def quota_sample(
     df: DataFrame, stratum: str, key: str, total: int, weights: Mapping[str, float], default: float = 0.05, seed: int = 42
 ) -> DataFrame:
-    """A random sample of floor(total * weight) rows per stratum, or all rows of a smaller one."""
+    """A random sample of floor(total * weight) rows per stratum, or all rows of a smaller one; ``key`` is unique."""
     sizes = {name: int(total * weight) for name, weight in weights.items()}
     quota = F.lit(int(total * default))
     for name, size in sizes.items():
@@ -200,7 +202,7 @@ def quota_sample(
     largest = max([int(total * default), *sizes.values()])
     drawn = df.withColumn("_draw", hashed(F.col(key), seed))
     order = [F.col("_draw"), F.col(key)]
-    if largest <= SMALL_QUOTA:
+    if largest <= MAP_SIDE_RANK:
         ranked = top_rows(drawn, [stratum], order, max(largest, 1), "_nth")
     else:
         ranked = ordered_rank(drawn, [stratum], [F.shiftright("_draw", HASH_BITS - 22)], order, "_nth")
@@ -213,8 +215,8 @@ def weighted_sample(
     """Weighted sample without replacement of floor(share * rows) rows per group.
 
     Each row draws -ln(u) / weight and the smallest draws win, which equals
-    picking rows one by one with probability proportional to weight. ``share``
-    must be constant within a group.
+    picking rows one by one with probability proportional to weight. ``key`` is
+    unique within a group, and ``share`` the same for all its rows.
     """
     uniform = (hashed(F.concat_ws(":", F.col(group), F.col(key)), seed) + F.lit(0.5)) / F.lit(float(2**HASH_BITS))
     drawn = df.withColumn("_draw", -F.ln(uniform) / weight.cast("double")).withColumn("_share", share)
@@ -225,5 +227,5 @@ def weighted_sample(
     return (
         ranked.join(sizes, group)
         .filter(F.col("_nth") <= F.floor(F.col("_rows") * F.col("_share")))
-        .drop("_draw", "_share", "_nth", "_rows")
+        .select(*df.columns)
     )

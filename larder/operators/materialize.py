@@ -1,0 +1,23 @@
+"""Cutting lineage through the cluster's shared checkpoint folder."""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import DataFrame
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The frame written to the folder that ``spark.checkpoint.dir`` names, and read from there.
+
+    A local session without the setting uses a temporary folder; a cluster
+    without it is an error, as executors share no local disk.
+    """
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="larder-checkpoint-"))
+    return df.checkpoint()

@@ -78,7 +78,7 @@ def running_total(df: DataFrame, key: Column, value: str, out: str, depth: int =
     totals = exclusive_totals(leveled, [], names, "_amount").select(
         names[-1], (F.col("before") + F.col("_amount")).alias(out)
     )
-    return keyed.join(totals, names[-1]).drop(names[-1])
+    return keyed.join(totals, names[-1]).select(*df.columns, out)
 
 
 def ordered_rank(
@@ -101,7 +101,7 @@ def ordered_rank(
     cells = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     offsets = exclusive_totals(cells, group, names, "_rows", descending=descending).select(*keys, "before")
     local = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return keyed.join(offsets, keys).withColumn(out, (F.col("before") + local).cast("bigint")).drop(*names, "before")
+    return keyed.join(offsets, keys).withColumn(out, (F.col("before") + local).cast("bigint")).select(*df.columns, out)
 
 
 def sequence_number(df: DataFrame, key: str, out: str = "sequence") -> DataFrame:

@@ -1,0 +1,25 @@
+"""Choosing a plan by the estimated size of a table."""
+
+from __future__ import annotations
+
+import re
+
+from pyspark.sql import DataFrame
+
+_UNITS = {"": 1, "b": 1, "k": 2**10, "kb": 2**10, "m": 2**20, "mb": 2**20, "g": 2**30, "gb": 2**30}
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate (for a file scan: bytes of the files); runs no job."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def broadcast_limit(df: DataFrame) -> int:
+    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()
+    number, unit = re.fullmatch(r"(-?\d+)\s*([a-z]*)", text).groups()
+    return int(number) * _UNITS[unit]
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether Spark itself would broadcast this side of a join."""
+    return estimated_bytes(df) <= broadcast_limit(df)
