@@ -222,16 +222,9 @@ def check_inventory(t: RetailTables) -> DataFrame:
     )
 
 
-def check_all(t: RetailTables) -> DataFrame:
+def check_all(t: RetailTables, store_rows: int = 12) -> DataFrame:
     """(table_name, rule, violations) for all eight tables."""
-    tables = [
-        check_customers,
-        check_products,
-        check_dark_stores,
-        check_riders,
-        check_orders,
-        check_order_details,
-        check_returns,
-        check_inventory,
-    ]
-    return reduce(DataFrame.unionByName, [check(t) for check in tables])
+    checks = [check_customers, check_products, check_riders, check_orders, check_order_details]
+    checks += [check_returns, check_inventory]
+    reports = [check(t) for check in checks] + [check_dark_stores(t, store_rows)]
+    return reduce(DataFrame.unionByName, reports)
