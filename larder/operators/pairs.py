@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 SEED_ITEMS = 64
 BLOCK_ITEMS = 1000
+# Pairs per line up to which enumerating all of them is cheaper than finding out which to skip.
+PLAIN_PAIRS_PER_LINE = 32
 
 
 def _count_pairs(left: DataFrame, right: DataFrame, keys: list[str], item: str, bar: float | None = None) -> DataFrame:
@@ -38,14 +40,21 @@ def _count_wide(rows: DataFrame, wide: DataFrame, basket: str, item: str, block_
 
 
 def frequent_pairs(
-    lines: DataFrame, basket: str, item: str, k: int, seed_items: int = SEED_ITEMS, block_items: int = BLOCK_ITEMS
+    lines: DataFrame,
+    basket: str,
+    item: str,
+    k: int,
+    seed_items: int = SEED_ITEMS,
+    block_items: int = BLOCK_ITEMS,
+    plain_pairs: float = PLAIN_PAIRS_PER_LINE,
 ) -> DataFrame:
     """(item_a, item_b, times) for at least every pair that can reach the ``k`` highest counts.
 
     ``times`` counts line pairs of one basket, so repeated lines multiply. Ties
     with the k-th count are all present; the caller ranks and cuts.
 
-    Emitting every pair of every basket is what makes this question explode, so
+    Baskets of ordinary size are joined with themselves. Emitting every pair of
+    every basket explodes with wide baskets, so where the basket sizes say so
 
     * repeated lines are merged first, and their counts multiply instead;
     * with energy(i) = sum over baskets of copies(i)^2, Cauchy-Schwarz bounds a
@@ -55,24 +64,26 @@ def frequent_pairs(
     * a basket wider than ``block_items`` is joined block against block, so no
       task enumerates more than about block_items^2 pairs of it.
 
-    Two small probes (at most ``seed_items`` rows reach the driver) decide which
-    of these steps the data needs, so plain data keeps the plain self-join.
+    The sizes are probed by small jobs; at most ``seed_items`` rows reach the driver.
     """
+    width = F.col("width").cast("double")
+    sizes = lines.groupBy(basket).agg(F.count(F.lit(1)).alias("width"))
+    shape = sizes.agg(F.sum(width * width / 2).alias("pairs"), F.sum(width).alias("lines"), F.max("width").alias("widest")).first()
+    plain = shape["pairs"] is None or shape["pairs"] <= plain_pairs * shape["lines"]
+    if plain and (shape["widest"] or 0) <= block_items:
+        single = lines.select(basket, item, F.lit(1).cast("bigint").alias("copies"))
+        return _count_pairs(single, single, [basket], item)
+
     merged = lines.groupBy(basket, item).agg(F.count(F.lit(1)).alias("copies"))
     copies = F.col("copies").cast("double")
     energy = merged.groupBy(item).agg(F.sum(copies * copies).alias("energy"))
-    widths = merged.groupBy(basket).agg(F.count(F.lit(1)).alias("width"))
-
     heaviest = (
         energy.orderBy(F.desc("energy"), item)
         .limit(seed_items)
         .withColumn("least", energy.agg(F.min("energy")).scalar())
-        .withColumn("widest", widths.agg(F.max("width")).scalar())
         .collect()
     )
-    if not heaviest:
-        return _count_pairs(merged, merged, [basket], item)
-    peak, least, widest = heaviest[0]["energy"], heaviest[0]["least"], heaviest[0]["widest"]
+    peak, least = heaviest[0]["energy"], heaviest[0]["least"]
     seeds = [row[item] for row in heaviest]
     seeded = lines.filter(F.col(item).isin(seeds)).groupBy(basket, item).agg(F.count(F.lit(1)).alias("copies"))
     best = _count_pairs(seeded, seeded, [basket], item).orderBy(F.desc("times")).limit(k).collect()
@@ -83,9 +94,10 @@ def frequent_pairs(
     rows, pair_bar = merged, None
     if least * least < bar:
         rows, pair_bar = merged.join(energy.filter(F.col("energy") * peak >= bar), item), bar
-    if widest <= block_items:
+    if shape["widest"] <= block_items:
         return _count_pairs(rows, rows, [basket], item, pair_bar)
     wide = rows.groupBy(basket).agg(F.count(F.lit(1)).alias("width")).filter(F.col("width") > block_items)
-    pairs = _count_pairs(rows.join(wide, basket, "left_anti"), rows.join(wide, basket, "left_anti"), [basket], item, pair_bar)
+    narrow = rows.join(wide, basket, "left_anti")
+    pairs = _count_pairs(narrow, narrow, [basket], item, pair_bar)
     wide_pairs = _count_wide(rows, wide, basket, item, block_items, pair_bar)
     return pairs.unionByName(wide_pairs).groupBy("item_a", "item_b").agg(F.sum("times").alias("times"))

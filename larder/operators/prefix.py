@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from larder.operators.skew import GROUP_ROWS
+
 BUCKET_BITS = 22
 
 
@@ -63,12 +65,18 @@ def exclusive_totals(
     )
 
 
-def running_total(df: DataFrame, key: Column, value: str, out: str, depth: int = 2) -> DataFrame:
+def running_total(
+    df: DataFrame, key: Column, value: str, out: str, rows: int | None = None, depth: int = 2
+) -> DataFrame:
     """Running sum of ``value`` in ascending order of a whole-number key, peers included.
 
     Rows with equal keys share one total, as in a RANGE frame up to the current
-    row. Equal keys are merged before the sums and matched back afterwards.
+    row. Equal keys are merged before the sums and matched back afterwards. Where
+    the caller knows a bound on the ``rows`` and it is small, one window does.
     """
+    if rows is not None and rows <= GROUP_ROWS:
+        upto = Window.orderBy(key).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.withColumn(out, F.sum(value).over(upto))
     names = [f"_level{i}" for i in range(depth)]
     keyed = df.withColumn(names[-1], key)
     merged = keyed.groupBy(names[-1]).agg(F.sum(value).alias("_amount"))

@@ -54,12 +54,17 @@ def best_in_category(t: RetailTables) -> DataFrame:
 
 
 def pareto(t: RetailTables, pct: float = 80) -> DataFrame:
-    """Products within the first ``pct`` percent of revenue, best sellers first."""
+    """Products within the first ``pct`` percent of revenue, best sellers first.
+
+    The product count, read from file footers, decides whether one window may
+    hold all products or the running sum is taken bucket by bucket.
+    """
+    known = t.products.count()
     sold = product_revenue(t, "product_name").select("product_id", "product_name", "revenue").filter(F.col("revenue").isNotNull())
     total = sold.agg(F.sum("revenue")).scalar()
     share_limit = F.lit(str(pct)).cast("decimal(9,4)")
     return (
-        running_total(sold, -cents(F.col("revenue")), "revenue", "running_revenue")
+        running_total(sold, -cents(F.col("revenue")), "revenue", "running_revenue", rows=known)
         .withColumn("_total", total)
         .filter(F.col("running_revenue") * 100 <= F.col("_total") * share_limit)
         .orderBy(F.desc("revenue"), "product_id")

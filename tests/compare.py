@@ -33,8 +33,30 @@ def _rows(names, rows):
     return [names[i] for i in order], Counter(tuple(_freeze(r[i]) for i in order) for r in rows)
 
 
+TYPES = {
+    "BIGINT": "bigint",
+    "INTEGER": "int",
+    "DOUBLE": "double",
+    "DATE": "date",
+    "TIMESTAMP": "timestamp_ntz",
+    "VARCHAR": "string",
+    "BOOLEAN": "boolean",
+}
+
+
+def type_difference(df, db, sql: str) -> str | None:
+    """Columns whose type differs between the two engines, or None."""
+    want = {row[0]: TYPES.get(row[1], row[1]) for row in db.execute(f"DESCRIBE {sql}").fetchall()}
+    got = dict(df.dtypes)
+    off = {c: (got.get(c), want.get(c)) for c in sorted({*got, *want}) if got.get(c) != want.get(c)}
+    return f"types {off}" if off else None
+
+
 def difference(df, db, sql: str) -> str | None:
     """A short description of the first difference, or None."""
+    types = type_difference(df, db, sql)
+    if types:
+        return types
     got_names, got = _rows(df.columns, df.collect())
     cursor = db.execute(sql)
     want_names, want = _rows([d[0] for d in cursor.description], cursor.fetchall())
