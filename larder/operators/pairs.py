@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SEED_ITEMS = 64
-BLOCK_ITEMS = 1000
+BLOCK_ITEMS = 500
 # Pairs per line up to which enumerating all of them is cheaper than finding out which to skip.
 PLAIN_PAIRS_PER_LINE = 32
 
@@ -26,16 +28,41 @@ def _count_pairs(left: DataFrame, right: DataFrame, keys: list[str], item: str,
 
 
 def _count_wide(rows: DataFrame, wide: DataFrame, basket: str, item: str, block_items: int, bar: float | None) -> DataFrame:
-    """Pairs of the wide baskets, each basket cut into a grid of (row, col) blocks."""
-    blocks = F.ceil(F.col("width") / block_items).cast("int")
-    cut = (
-        rows.join(wide, basket)
-        .withColumn("blocks", blocks)
-        .withColumn("own", F.pmod(F.xxhash64(item), F.col("blocks")).cast("int"))
+    """Pairs of the wide baskets, cell by cell of a grid.
+
+    Items of a basket are classed by the half-octave of their energy and each
+    class is cut into parts of about ``block_items``. A cell joins one part with
+    another, and only cells whose classes can reach the bar exist; a basket has
+    at most some 130 classes, whatever its width.
+    """
+    if bar is None:
+        level, reach = F.lit(0), F.lit(0)
+    else:
+        level = F.floor(F.log2("energy") * 2).cast("int")
+        # both energies lie below 2^((level + 1) / 2); rounded down, so that no candidate is lost
+        reach = F.lit(int(math.floor(math.log2(bar) * 2)) - 3) - F.col("level")
+    inside = rows.join(wide.select(basket), basket, "left_semi").withColumn("level", level)
+    grid = (
+        inside.groupBy(basket, "level")
+        .agg(F.ceil(F.count(F.lit(1)) / block_items).cast("int").alias("parts"))
+        .groupBy(basket)
+        .agg(F.collect_list(F.struct("level", "parts")).alias("classes"))
+    )
+    mine = F.filter("classes", lambda c: c["level"] == F.col("level"))[0]["parts"]
+    cut = inside.join(grid, basket).withColumn("part", F.pmod(F.xxhash64(item), mine).cast("int"))
+    partners = F.flatten(
+        F.transform(
+            F.filter("classes", lambda c: c["level"] >= reach),
+            lambda c: F.transform(
+                F.sequence(F.lit(0), c["parts"] - 1), lambda part: F.struct(c["level"].alias("level"), part.alias("part"))
+            ),
+        )
     )
-    others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    left = cut.withColumn("row", F.col("own")).withColumn("col", others)
-    right = cut.withColumn("col", F.col("own")).withColumn("row", others)
+    met = cut.select(basket, item, *[c for c in ("copies", "energy") if c in rows.columns], "level", "part",
+                     F.explode(partners).alias("other"))
+    own, other = F.struct("level", "part"), F.col("other")
+    left = met.withColumn("row", own).withColumn("col", other)
+    right = met.withColumn("row", other).withColumn("col", own)
     return _count_pairs(left, right, [basket, "row", "col"], item, bar)
 
 
@@ -61,8 +88,9 @@ def frequent_pairs(
       pair by sqrt(energy(a) * energy(b)). The exact k-th count among the
       ``seed_items`` heaviest items is a floor for the answer, and a pair whose
       bound lies below that floor is never emitted;
-    * a basket wider than ``block_items`` is joined block against block, so no
-      task enumerates more than about block_items^2 pairs of it.
+    * a basket wider than ``block_items`` is joined part against part, so no
+      task enumerates more than about block_items^2 pairs of it at a time, and
+      parts whose items cannot reach the floor together never meet.
 
     The sizes are probed by small jobs; at most ``seed_items`` rows reach the driver.
     """
