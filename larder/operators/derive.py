@@ -76,11 +76,12 @@ def allocate_discount(
     ranked = whole.orderBy(*[F.col(c).desc() for c in (subtotal, item, *ties)])
     shared = (
         regular.join(goal, order)
+        # ranked first: the sort by order and subtotal then serves all windows
+        .withColumn("_position", F.row_number().over(ranked))
         .withColumn("_gross", F.sum(subtotal).over(whole))
         .withColumn("_lines", F.count(F.lit(1)).over(whole))
         .withColumn("_share", _proportional(F.col("_gross") - F.col("_target"), F.col(subtotal), F.col("_gross")))
         .withColumn("_shared", F.sum("_share").over(whole))
-        .withColumn("_position", F.row_number().over(ranked))
     )
     result = _settle(shared, subtotal, keep)
     if large is None:

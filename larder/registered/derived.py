@@ -11,7 +11,7 @@ from larder.functions.money import money
 from larder.operators import derive
 from larder.operators.prefix import sequence_number
 from larder.registered.binding import Query, bind
-from larder.registered.quality import _stored_products, _typed_stores
+from larder.registered.quality import stored_products, typed_stores
 from larder.sources.testdata import TestTables
 
 VELOCITIES = {"SMALL": "Fast", "MEDIUM": "Medium", "LARGE": "Slow", "PROMO": "Fast"}
@@ -153,7 +153,7 @@ def cold_chain(t: TestTables) -> DataFrame:
     remaining = (50 + F.col("product_id") % 46).cast("decimal(4,0)") / 100
     expiry = stocking.expiry_date(perishable, F.col("last_restock_date"), F.col("shelf_life_days"), remaining)
     return (
-        derive.cold_chain_eligible(pairs, _typed_stores(t), _stored_products(t))
+        derive.cold_chain_eligible(pairs, typed_stores(t), stored_products(t))
         .join(attributes, "product_id")
         .select("store_id", "product_id", "storage_type", expiry.alias("expiry_date"))
     )
@@ -237,7 +237,7 @@ def product_flags(t: TestTables) -> DataFrame:
     key = F.col("product_id")
     name = F.when(key % 7 == 0, F.concat("product_name", F.lit(" Mango bar"))).otherwise(F.col("product_name"))
     text = F.when(key % 3 == 0, "  ").when(key % 3 == 1, F.col("product_name"))
-    goods = t.products.join(_stored_products(t), "product_id")
+    goods = t.products.join(stored_products(t), "product_id")
     return goods.select(
         "product_id",
         cat.is_perishable(F.col("storage_type"), F.col("category")).alias("is_perishable"),

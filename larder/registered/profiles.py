@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from larder.operators import profile
 from larder.registered.binding import Query, bind
-from larder.registered.quality import _typed_stores
+from larder.registered.quality import typed_stores
 
 
 def profiles() -> dict[str, Query]:
@@ -17,7 +17,7 @@ def profiles() -> dict[str, Query]:
         ),
         "p04_top_values": lambda t: profile.top_values(t.products, "product_name", 5),
         "p05_counts_by_attribute": lambda t: profile.counts_by_attribute(
-            t.inventory.select("store_id"), "store_id", _typed_stores(t), "store_type"
+            t.inventory.select("store_id"), "store_id", typed_stores(t), "store_type"
         ),
         "p06_return_summary": lambda t: profile.return_summary(t.returns, t.order_details),
     }

@@ -31,14 +31,14 @@ def _shifted_lines(t: TestTables) -> DataFrame:
     )
 
 
-def _typed_stores(t: TestTables) -> DataFrame:
+def typed_stores(t: TestTables) -> DataFrame:
     kind = F.element_at(F.array(F.lit("Micro"), F.lit("Medium"), F.lit("Large")), (F.col("store_id") % 3 + 1).cast("int"))
     return t.dark_stores.select(
         "store_id", kind.alias("store_type"), (F.col("store_id") % 2 == 0).alias("temperature_control")
     )
 
 
-def _stored_products(t: TestTables) -> DataFrame:
+def stored_products(t: TestTables) -> DataFrame:
     storage = F.when(F.col("category") == "SMALL", "Frozen").otherwise("Ambient")
     return t.products.select("product_id", storage.alias("storage_type"))
 
@@ -173,7 +173,7 @@ def quality() -> dict[str, Query]:
         ),
         "dq22_assortment_share": lambda t: q.outside_assortment(
             t.inventory.select("store_id"),
-            eligible_products(_typed_stores(t), _stored_products(t)),
+            eligible_products(typed_stores(t), stored_products(t)),
             "store_id",
             "store_type",
             shares,

@@ -26,6 +26,8 @@ def local_session(app: str = "larder", cores: int | str = 8, **conf: str) -> Spa
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.shuffle.partitions", "8")
+        # on one machine even small shuffles are worth a task per core
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
