@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from larder.functions.catalogue import PERISHABLE_STORAGE
 from larder.functions.money import cents
 from larder.operators.materialize import checkpointed
-from larder.operators.prefix import id_buckets, ordered_rank
+from larder.operators.prefix import attach, id_buckets, ordered_rank
 from larder.operators.ranking import MAP_SIDE_RANK, top_rows
 from larder.operators.skew import GROUP_ROWS, large_groups, largest_group
 
@@ -226,7 +226,7 @@ def weighted_sample(
     )
     sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("_rows"))
     return (
-        ranked.join(sizes, group)
+        attach(ranked, sizes, [group], "_rows")
         .filter(F.col("_nth") <= F.floor(F.col("_rows") * F.col("_share")))
         .select(*df.columns)
     )

@@ -36,6 +36,15 @@ def id_buckets(df: DataFrame, column: str) -> Column:
     raise TypeError(f"{column}: ids are whole numbers or strings, not {kind.simpleString()}")
 
 
+def attach(left: DataFrame, right: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
+    """``left`` with one more column from ``right``, which has one row per key; nulls match nulls."""
+    a, b = left.alias("a"), right.alias("b")
+    same = F.lit(True)
+    for key in keys:
+        same = same & F.col(f"a.{key}").eqNullSafe(F.col(f"b.{key}"))
+    return a.join(b, same).select("a.*", F.col(f"b.{column}"))
+
+
 def exclusive_totals(
     cells: DataFrame,
     group: Sequence[str],
@@ -46,7 +55,7 @@ def exclusive_totals(
 ) -> DataFrame:
     """Add ``out``: the sum of ``value`` over the cells of the group that sort earlier.
 
-    ``cells`` must hold one row per (group, levels), without nulls in them.
+    ``cells`` must hold one row per (group, levels).
     """
     group, levels = list(group), list(levels)
     zero = F.lit(0)
@@ -59,7 +68,7 @@ def exclusive_totals(
     offset = f"_offset{len(levels)}"
     offsets = exclusive_totals(outer, group, levels[:-1], value, offset, descending).select(*outer_keys, offset)
     return (
-        cells.join(offsets, outer_keys)
+        attach(cells, offsets, outer_keys, offset)
         .withColumn(out, F.col(offset) + F.coalesce(F.sum(value).over(local), zero))
         .drop(offset)
     )
@@ -99,8 +108,8 @@ def ordered_rank(
 ) -> DataFrame:
     """1-based row number within the group, for groups of any size.
 
-    ``levels`` are non-null bucket expressions that agree with ``order``: rows of
-    an earlier bucket sort before rows of a later one. ``descending`` turns the
+    ``levels`` are bucket expressions that agree with ``order``: rows of an
+    earlier bucket sort before rows of a later one. ``descending`` turns the
     order of the buckets; ``order`` states its own directions.
     """
     names = [f"_bucket{i}" for i in range(len(levels))]
@@ -109,9 +118,10 @@ def ordered_rank(
     cells = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     offsets = exclusive_totals(cells, group, names, "_rows", descending=descending).select(*keys, "before")
     local = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return keyed.join(offsets, keys).withColumn(out, (F.col("before") + local).cast("bigint")).select(*df.columns, out)
+    ranked = attach(keyed, offsets, keys, "before").withColumn(out, (F.col("before") + local).cast("bigint"))
+    return ranked.select(*df.columns, out)
 
 
 def sequence_number(df: DataFrame, key: str, out: str = "sequence") -> DataFrame:
-    """1-based position of each row in ascending order of a unique, non-null id."""
+    """1-based position of each row in ascending order of a unique id."""
     return ordered_rank(df, [], [id_buckets(df, key)], [F.col(key)], out)

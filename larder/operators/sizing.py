@@ -21,5 +21,8 @@ def broadcast_limit(df: DataFrame) -> int:
 
 
 def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Spark itself would broadcast this side of a join."""
-    return estimated_bytes(df) <= broadcast_limit(df)
+    """Whether Spark itself would broadcast this side of a join; no, where no estimate can be had."""
+    try:
+        return estimated_bytes(df) <= broadcast_limit(df)
+    except AttributeError:  # a remote session exposes no plan statistics
+        return False

@@ -9,6 +9,7 @@ from larder.functions.money import cents, mean, percent, ratio
 from larder.operators.pairs import frequent_pairs
 from larder.operators.prefix import running_total
 from larder.operators.ranking import top_rows
+from larder.operators.sizing import fits_broadcast
 from larder.sources.retail import RetailTables
 
 
@@ -149,14 +150,31 @@ def underperformers(t: RetailTables) -> DataFrame:
     )
 
 
+def _known_lines(t: RetailTables) -> DataFrame:
+    """(order_id, product_id) of the lines whose product exists.
+
+    A small product table is matched in the scan's stage. With a large one the
+    lines would have to be shuffled, so first the distinct ids are looked at:
+    as a rule every product is known, and the lines stay where they are.
+    """
+    lines = t.order_details.select("order_id", "product_id").filter(
+        F.col("order_id").isNotNull() & F.col("product_id").isNotNull()
+    )
+    known = t.products.select("product_id")
+    if not fits_broadcast(known):
+        unknown = lines.select("product_id").distinct().join(known, "product_id", "left_anti")
+        if unknown.isEmpty():
+            return lines
+    return lines.join(known, "product_id", "left_semi").select("order_id", "product_id")
+
+
 def product_pairs(t: RetailTables, k: int = 10) -> DataFrame:
-    lines = t.order_details.select("order_id", "product_id").filter(F.col("order_id").isNotNull() & F.col("product_id").isNotNull())
+    """The pairs found most often in one order; ranked by id before the names are joined."""
     names = t.products.select("product_id", "product_name")
     first = names.select(F.col("product_id").alias("item_a"), F.col("product_name").alias("product_1"))
     second = names.select(F.col("product_id").alias("item_b"), F.col("product_name").alias("product_2"))
-    # pairs are ranked before the names join; every line's product is a known one
     top = (
-        frequent_pairs(lines, "order_id", "product_id", k)
+        frequent_pairs(_known_lines(t), "order_id", "product_id", k)
         .orderBy(F.desc("times"), "item_a", "item_b")
         .limit(k)
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.sources import schemas
@@ -62,6 +62,28 @@ def require_columns(df: DataFrame, columns: Iterable[str], name: str = "table")
     return df
 
 
+def require_keys(df: DataFrame, keys: Iterable[str], name: str = "table") -> DataFrame:
+    """The frame itself, or a ValueError if the key columns hold nulls or repeat."""
+    keys = list(keys)
+    require_columns(df, keys, name)
+    missing = F.count_if(F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False)))
+    empty = df.agg(missing).first()[0]
+    if empty:
+        raise ValueError(f"{name}: {empty} row(s) without {', '.join(keys)}")
+    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).filter(F.col("copies") > 1).count()
+    if repeated:
+        raise ValueError(f"{name}: {repeated} repeated value(s) of {', '.join(keys)}")
+    return df
+
+
+def require_some(df: DataFrame, condition: Column, what: str) -> DataFrame:
+    """The rows that meet the condition, or a ValueError if there are none."""
+    kept = df.filter(condition)
+    if kept.isEmpty():
+        raise ValueError(f"no {what} found")
+    return kept
+
+
 def to_table_columns(df: DataFrame, table: str) -> DataFrame:
     """Exactly the declared columns of a table, in declared order."""
     names = schemas.schema(table).fieldNames()

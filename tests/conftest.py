@@ -16,7 +16,7 @@ SF_CHECK = "/root/testdata/sf0.01"
 def spark():
     from larder.session import local_session
 
-    session = local_session("larder-tests", 8)
+    session = local_session("larder-tests", 8, spark__sql__shuffle__partitions="4")
     yield session
     session.stop()
 

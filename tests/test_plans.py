@@ -81,6 +81,11 @@ def test_pairs_multiply_repeated_lines(spark):
     assert rows(products.product_pairs(s.Shop(spark, order_details=lines))) == [("Brand Item 1", "Brand Item 2", 2)]
 
 
+def test_pairs_ignore_unknown_products(spark, no_broadcast):
+    lines = [s.line(i, i, p, 1, "1.00") for i in (1, 2) for p in (1, 99)] + [s.line(9, 3, p, 1, "1.00") for p in (2, 3)]
+    assert rows(products.product_pairs(s.Shop(spark, order_details=lines))) == [("Brand Item 2", "Brand Item 3", 1)]
+
+
 def test_basket_bands_follow_custom_order(spark):
     lines = [s.line(i, 1, 1, 1, "1.00") for i in range(7)] + [s.line(9, 2, 1, 1, "1.00")]
     lines += [s.line(20 + i, 3, 1, 1, "1.00") for i in range(4)] + [s.line(40, 99, 1, 1, "1.00")]

@@ -97,6 +97,12 @@ def test_ordered_rank_is_row_number(spark):
         assert {r.id: r["rank"] for r in ranked if r.g == g} == {v: n + 1 for n, v in enumerate(members)}
 
 
+def test_ordered_rank_keeps_rows_of_the_null_group(spark):
+    df = spark.createDataFrame([(None, 3), (None, 1), ("a", 2), ("a", None)], "g string, id long")
+    ranked = prefix.ordered_rank(df, ["g"], [prefix.id_buckets(df, "id")], [F.col("id")]).collect()
+    assert {(r.g, r.id): r["rank"] for r in ranked} == {(None, 1): 1, (None, 3): 2, ("a", None): 1, ("a", 2): 2}
+
+
 def test_sequence_number_of_text_ids(spark):
     ids = [f"P{i:06d}" for i in range(0, 4000, 7)]
     df = spark.createDataFrame([(i,) for i in ids], "id string").repartition(7)

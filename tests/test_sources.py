@@ -66,6 +66,18 @@ def test_missing_columns_are_named(spark):
     assert files.to_table_columns(s.Shop(spark).riders.withColumn("x", F.lit(1)), "riders").columns[-1] != "x"
 
 
+def test_keys_must_be_present_once(spark):
+    stores = s.Shop(spark).dark_stores
+    assert files.require_keys(stores, ["store_id"], "stores") is stores
+    with pytest.raises(ValueError, match="1 repeated"):
+        files.require_keys(stores.unionByName(stores.limit(1)), ["store_id"], "stores")
+    with pytest.raises(ValueError, match="2 row"):
+        files.require_keys(stores.withColumn("store_id", F.lit(None).cast("string")), ["store_id"], "stores")
+    assert files.require_some(s.Shop(spark).riders, F.col("rider_status") == "Active", "active riders").count() == 2
+    with pytest.raises(ValueError, match="no active riders"):
+        files.require_some(s.Shop(spark).riders, F.col("rider_status") == "Gone", "active riders")
+
+
 def test_sentinel_becomes_null(spark):
     assert files.blank_to_null(s.Shop(spark).products, ["variant"]).filter("variant is null").count() == 4
 
