@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.functions.money import mean, percent
+from larder.functions.money import mean, percent, ratio
 
 
 def value_shares(df: DataFrame, column: str, places: int = 2) -> DataFrame:
@@ -99,3 +99,14 @@ def return_summary(returns: DataFrame, lines: DataFrame, statuses: Sequence[str]
         .withColumns({f"{s.lower()}_pct": percent(F.col(f"_{s}"), F.col("total_returns")) for s in statuses})
         .drop(*[f"_{s}" for s in statuses])
     )
+
+
+def line_summary(lines: DataFrame) -> DataFrame:
+    """One row: lines, orders with lines, lines per order, mean price and discount, total value."""
+    return lines.agg(
+        F.count(F.lit(1)).alias("total_lines"),
+        F.countDistinct("order_id").alias("orders"),
+        mean(F.col("final_item_price"), 2).alias("average_final_price"),
+        mean(F.col("item_discount"), 2).alias("average_discount"),
+        F.sum("final_item_price").alias("total_value"),
+    ).withColumn("lines_per_order", ratio(F.col("total_lines"), F.col("orders"), 2))

@@ -24,6 +24,16 @@ def profiles() -> dict[str, str]:
                 {div('SUM(quantity)', 'COUNT(*)', 2)} AS quantity_mean, {money('SUM(final_c)')} AS final_item_price_sum,
                 {div('SUM(final_c)', '100 * COUNT(*)', 2)} AS final_item_price_mean FROM lines GROUP BY line_number"""
         ),
+        "p02_line_summary": query(
+            f"""SELECT COUNT(*) AS total_lines, COUNT(DISTINCT order_id) AS orders,
+                {div('SUM(final_c)', '100 * COUNT(*)', 2)} AS average_final_price,
+                {div('SUM(discount_c)', '100 * COUNT(*)', 2)} AS average_discount, {money('SUM(final_c)')} AS total_value,
+                {div('COUNT(*)', 'COUNT(DISTINCT order_id)', 2)} AS lines_per_order FROM lines"""
+        ),
+        "a17_active_riders_by_store": query(
+            """SELECT store_id, rider_id, ROW_NUMBER() OVER (PARTITION BY store_id ORDER BY rider_id) AS position
+            FROM rider_list WHERE rider_status = 'Active'"""
+        ),
         "p03_gaps_and_repeats": query(
             f"""SELECT 'nulls' AS measure, {whole("COUNT(*) * 3 - COUNT(return_id) - COUNT(order_id) - COUNT(product_id)")} AS found
                 FROM returned

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from larder.functions.dates import day_of, month_of
 from larder.functions.money import mean, percent, ratio
+from larder.operators.prefix import id_buckets, ordered_rank
 from larder.operators.ranking import top_rows
 from larder.operators.sizing import fits_broadcast
 from larder.operators.series import with_moving_mean, with_previous, with_running_sum
@@ -155,3 +156,12 @@ def category_month_over_month(t: RetailTables) -> DataFrame:
         .withColumn("mom_growth_percentage", percent(now - before, before))
         .orderBy("category", "month")
     )
+
+
+def active_riders_by_store(t: RetailTables) -> DataFrame:
+    """The list of active riders of each store, one numbered row per entry.
+
+    Rows instead of an array: a store with very many riders needs no wide row.
+    """
+    active = t.riders.filter(F.col("rider_status") == "Active").select("store_id", "rider_id")
+    return ordered_rank(active, ["store_id"], [id_buckets(active, "rider_id")], [F.col("rider_id")], "position")

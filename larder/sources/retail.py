@@ -6,7 +6,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.sources import files
+from larder.sources import files, schemas
 
 
 class RetailTables:
@@ -62,3 +62,8 @@ class RetailTables:
     @cached_property
     def inventory(self) -> DataFrame:
         return self._table("inventory")
+
+    def register_views(self, *names: str) -> None:
+        """Temporary views of the named tables (all eight by default), for SQL of one's own."""
+        for name in names or schemas.TABLE_NAMES:
+            getattr(self, name).createOrReplaceTempView(name)

@@ -60,6 +60,15 @@ def test_monthly_files_prune_by_month(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(month" in april._jdf.queryExecution().executedPlan().toString()
 
 
+def test_views_serve_sql(spark):
+    s.Shop(spark).register_views("orders", "customers")
+    found = spark.sql("""SELECT c.customer_name, SUM(o.total_order_value) AS spent FROM customers c
+        JOIN orders o ON o.customer_id = c.customer_id GROUP BY ALL ORDER BY spent DESC""").collect()
+    assert [tuple(r) for r in found] == [("Person 1", D("270.00")), ("Person 2", D("85.00"))]
+    s.Shop(spark).register_views()
+    assert {v.name for v in spark.catalog.listTables() if v.isTemporary} >= set(schemas.TABLE_NAMES)
+
+
 def test_missing_columns_are_named(spark):
     with pytest.raises(ValueError, match="Rider_Status"):
         files.require_columns(s.Shop(spark).riders.drop("rider_status"), ["Rider_ID", "Rider_Status"], "riders")
