@@ -20,8 +20,10 @@ def _count_pairs(left: DataFrame, right: DataFrame, keys: list[str], item: str,
         match = match & (F.col(f"a.{key}") == F.col(f"b.{key}"))
     if bar is not None:
         match = match & (F.col("a.energy") * F.col("b.energy") >= bar)
+    # both sides are the same facts: one shuffle by basket serves both and spreads the pairs
     return (
-        a.join(b, match)
+        a.hint("merge")
+        .join(b, match)
         .groupBy(F.col(f"a.{item}").alias("item_a"), F.col(f"b.{item}").alias("item_b"))
         .agg(F.sum(F.col("a.copies") * F.col("b.copies")).alias("times"))
     )
