@@ -7,13 +7,15 @@ from compare import difference
 from conftest import SF_SMALL
 
 import __spark_entry__ as entry_module
+from larder import registered
 
-QUERIES = entry_module.queries()
-TWINS = entry_module.oracle_sql()
+QUERIES = registered.queries()
+TWINS = registered.oracle_sql()
 
 
 def test_every_query_has_a_twin():
     assert set(TWINS) == set(QUERIES)
+    assert set(QUERIES) <= set(entry_module.queries())
 
 
 def test_entry_returns_rows(spark):
