@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import packing
-from larder.llm.shared import documents
+from larder.llm import language_id, packing, secret_scan
+from larder.llm.shared import documents, shipped
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,10 +23,21 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), tokenizer_file("word_bpe_49k.json"))
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.summary(secret_scan.find_secrets(documents(spark, sf_dir)))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.predict_held_out(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
-    return {
-        "op4_best_fit_packing": op4_best_fit_packing,
-    }
+    found = [
+        op4_best_fit_packing,
+        op6_secret_scan,
+        op8_language_id,
+    ]
+    return {run.__name__: shipped(run) for run in found}
 
 
 def oracle_sql() -> dict[str, str]:

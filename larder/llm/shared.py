@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 import os
+import shutil
+import tempfile
 import uuid
+from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,8 +25,6 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    import tempfile
-
     folder = tempfile.mkdtemp(prefix="larder-")
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
@@ -46,3 +49,29 @@ def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def id_and_text(docs: DataFrame) -> DataFrame:
     """The two columns that text operators read; whatever else the table has stays in the scan."""
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let the executors' Python import this package, once per application, through Spark's own file distribution."""
+    application = spark.sparkContext.applicationId
+    package = Path(__file__).resolve().parents[1]
+    if application not in _shipped and package.is_dir():
+        archive = shutil.make_archive(
+            os.path.join(tempfile.mkdtemp(prefix="larder-"), package.name), "zip", package.parent, package.name
+        )
+        spark.sparkContext.addPyFile(archive)
+        _shipped.add(application)
+
+
+def shipped(run: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """``run(spark, ...)`` after the executors can import this package."""
+
+    @functools.wraps(run)
+    def first(spark: SparkSession, *args, **kwargs) -> DataFrame:
+        ship_package(spark)
+        return run(spark, *args, **kwargs)
+
+    return first
