@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import language_id, packing, secret_scan
+from larder.llm import language_id, license_scan, packing, secret_scan
 from larder.llm.shared import documents, shipped
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,10 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.summary(secret_scan.find_secrets(documents(spark, sf_dir)))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.summary(license_scan.scan(documents(spark, sf_dir)))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict_held_out(documents(spark, sf_dir))
 
@@ -35,6 +39,7 @@ def queries() -> dict[str, Query]:
     found = [
         op4_best_fit_packing,
         op6_secret_scan,
+        op7_license_scan,
         op8_language_id,
     ]
     return {run.__name__: shipped(run) for run in found}
