@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import language_id, license_scan, packing, secret_scan
+from larder.llm import language_id, license_scan, packing, secret_scan, substring_dedup
 from larder.llm.shared import documents, shipped
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,11 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that repeat text which stands elsewhere first: what is repeated, and which documents keep it."""
+    return substring_dedup.by_document(substring_dedup.repeated_spans(documents(spark, sf_dir)))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), tokenizer_file("word_bpe_49k.json"))
 
@@ -37,6 +42,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     found = [
+        op2_substring_dedup,
         op4_best_fit_packing,
         op6_secret_scan,
         op7_license_scan,
