@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import language_id, license_scan, packing, secret_scan, substring_dedup
+from larder.llm import jaccard_join, language_id, license_scan, packing, secret_scan, substring_dedup
 from larder.llm.shared import documents, shipped
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,10 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.by_document(substring_dedup.repeated_spans(documents(spark, sf_dir)))
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.components(documents(spark, sf_dir))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), tokenizer_file("word_bpe_49k.json"))
 
@@ -43,6 +47,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     found = [
         op2_substring_dedup,
+        op3_ngram_jaccard_join,
         op4_best_fit_packing,
         op6_secret_scan,
         op7_license_scan,
