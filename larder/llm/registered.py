@@ -6,8 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import jaccard_join, language_id, license_scan, packing, secret_scan, substring_dedup
-from larder.llm.shared import documents, shipped
+from larder.llm import (
+    jaccard_join,
+    language_id,
+    license_scan,
+    near_vectors,
+    nearest,
+    packing,
+    secret_scan,
+    substring_dedup,
+)
+from larder.llm.shared import documents, embeddings, shipped
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +41,10 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), tokenizer_file("word_bpe_49k.json"))
 
 
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_duplicates(embeddings(spark, sf_dir))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.summary(secret_scan.find_secrets(documents(spark, sf_dir)))
 
@@ -44,14 +57,20 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict_held_out(documents(spark, sf_dir))
 
 
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.search(embeddings(spark, sf_dir), "vec_id % 20 = 0")
+
+
 def queries() -> dict[str, Query]:
     found = [
         op2_substring_dedup,
         op3_ngram_jaccard_join,
         op4_best_fit_packing,
+        op5_embedding_near_dedup,
         op6_secret_scan,
         op7_license_scan,
         op8_language_id,
+        op9_nearest_neighbours,
     ]
     return {run.__name__: shipped(run) for run in found}
 
