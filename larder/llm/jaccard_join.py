@@ -13,7 +13,8 @@ Work is kept linear where many documents share a list:
 * equal sets are one representative;
 * in the first round each representative meets one document, the smallest of most of its lists; the links
   found contract the documents into parts;
-* in the second round only lists that still hold several parts bring pairs together, across parts only;
+* in the second round only lists that still hold several parts bring pairs together, across parts only,
+  and only where enough of both documents is left behind the place of the shared shingle;
 * a bitmap per document (two bits per shingle) rejects pairs that can't share enough before any text moves.
 
 No pair is left out: pairs inside a part are connected already, all others are tested.
@@ -217,14 +218,14 @@ def most_frequent(sets: DataFrame) -> list[int]:
 
 
 def short_lists(docs: DataFrame, last: list[int]) -> DataFrame:
-    """(shingle, doc_id) for the first shingles of each document in the common order."""
+    """(shingle, doc_id, at) for the first shingles of each document in the common order; ``at`` is the place there."""
     by_hash = np.array(last, np.int64).view(np.uint64)
     by_hash_order = np.argsort(by_hash)
     by_hash = by_hash[by_hash_order]
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            first, owner = [], []
+            first, owner, place = [], [], []
             for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
                 found = shingles(text)
                 keep = len(found) - (4 * len(found) + 4) // 5 + 1
@@ -236,13 +237,13 @@ def short_lists(docs: DataFrame, last: list[int]) -> DataFrame:
                 found = found[:keep]
                 first.append(found.view(np.int64))
                 owner.append(np.full(len(found), doc_id, np.int64))
+                place.append(np.arange(len(found), dtype=np.int32))
             if first:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(first)), pa.array(np.concatenate(owner))], ["shingle", "doc_id"]
-                )
+                columns = [pa.array(np.concatenate(c)) for c in (first, owner, place)]
+                yield pa.RecordBatch.from_arrays(columns, ["shingle", "doc_id", "at"])
 
     rows = id_and_text(docs).filter("doc_id is not null and text <> ''")
-    return rows.mapInArrow(emit, "shingle bigint, doc_id bigint")
+    return rows.mapInArrow(emit, "shingle bigint, doc_id bigint, at int")
 
 
 def not_rejected(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -333,7 +334,7 @@ def similar(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         short_lists(docs, last)
         .join(shared, "shingle")
         .join(representative, "doc_id")
-        .select("shingle", F.col("representative").alias("doc_id"), "low"),
+        .select("shingle", F.col("representative").alias("doc_id"), "at", "low"),
         "postings",
     )
 
@@ -353,10 +354,10 @@ def similar(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     # second round: across the parts that still share a list
     across = (
-        postings.select("shingle", "doc_id")
+        postings.select("shingle", "doc_id", "at")
         .distinct()
         .join(part, "doc_id", "left")
-        .select("shingle", "doc_id", F.coalesce("part", "doc_id").alias("part"))
+        .select("shingle", "doc_id", "at", F.coalesce("part", "doc_id").alias("part"))
     )
     mixed_lists = settled(
         across.groupBy("shingle").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q").select("shingle"),
@@ -364,10 +365,12 @@ def similar(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     sizes = own_sets.select("doc_id", "n")
     across = settled(across.join(mixed_lists, "shingle").join(sizes, "doc_id"), "mixed-postings")
-    other = across.select("shingle", *(F.col(c).alias(f"{c}_") for c in ("doc_id", "part", "n")))
+    other = across.select("shingle", *(F.col(c).alias(f"{c}_") for c in ("doc_id", "at", "part", "n")))
     pairs = (
         across.join(other, "shingle")
         .filter("doc_id < doc_id_ and part <> part_ and 5 * least(n, n_) >= 4 * greatest(n, n_)")
+        # at their first common shingle no more can be shared than what both have from there on
+        .filter("9 * least(n - at, n_ - at_) >= 4 * (n + n_)")
         .select(F.col("doc_id").alias("a"), F.col("doc_id_").alias("b"))
         .distinct()
     )
