@@ -15,6 +15,8 @@ from larder.llm import (
     packing,
     secret_scan,
     substring_dedup,
+    token_counts,
+    transducer,
 )
 from larder.llm.shared import documents, embeddings, shipped
 
@@ -28,6 +30,11 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document; ``round_trip`` decodes them again."""
+    return transducer.encode(documents(spark, sf_dir), tokenizer_file("piece_bpe_32k.model"))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that repeat text which stands elsewhere first: what is repeated, and which documents keep it."""
     return substring_dedup.by_document(substring_dedup.repeated_spans(documents(spark, sf_dir)))
@@ -61,8 +68,13 @@ def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.search(embeddings(spark, sf_dir), "vec_id % 20 = 0")
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(documents(spark, sf_dir), tokenizer_file("piece_bpe_32k.model"))
+
+
 def queries() -> dict[str, Query]:
     found = [
+        op1_sentencepiece,
         op2_substring_dedup,
         op3_ngram_jaccard_join,
         op4_best_fit_packing,
@@ -71,6 +83,7 @@ def queries() -> dict[str, Query]:
         op7_license_scan,
         op8_language_id,
         op9_nearest_neighbours,
+        op10_token_counts,
     ]
     return {run.__name__: shipped(run) for run in found}
 
