@@ -388,3 +388,10 @@ def components(docs: DataFrame) -> DataFrame:
         .join(reached, "node", "left")
         .select("doc_id", "n_shingles", F.coalesce("component", "node").alias("component_id"))
     )
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """``docs`` with the smallest document of each component; rows without ``doc_id`` stay, repeated rows stay once."""
+    others = components(docs).filter("component_id <> doc_id").select("doc_id").distinct()
+    kept = docs.filter("doc_id is not null").join(others, "doc_id", "left_anti").dropDuplicates(["doc_id"])
+    return kept.select(docs.columns).union(docs.filter("doc_id is null"))

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from larder.llm import (
     jaccard_join,
     language_id,
@@ -18,18 +19,11 @@ from larder.llm import (
     token_counts,
     transducer,
 )
-from larder.llm.shared import documents, embeddings, shipped
+from larder.llm.shared import documents, embeddings, shipped, tokenizer_file
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def tokenizer_file(name: str) -> str:
-    """The place of a public tokenizer's file, the same on every machine of the cluster."""
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document; ``round_trip`` decodes them again."""
     return transducer.encode(documents(spark, sf_dir), tokenizer_file("piece_bpe_32k.model"))
@@ -85,7 +79,7 @@ def queries() -> dict[str, Query]:
         op9_nearest_neighbours,
         op10_token_counts,
     ]
-    return {run.__name__: shipped(run) for run in found}
+    return {run.__name__: shipped(run) for run in found} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -7,9 +7,10 @@ import os
 import shutil
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,6 +47,13 @@ def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, "embeddings.parquet"))
 
 
+def tokenizer_file(name: str) -> str:
+    """The place of a public tokenizer's file, the same on every machine of the cluster."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def id_and_text(docs: DataFrame) -> DataFrame:
     """The two columns that text operators read; whatever else the table has stays in the scan."""
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -75,3 +83,23 @@ def shipped(run: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
         return run(spark, *args, **kwargs)
 
     return first
+
+
+def with_text(docs: DataFrame, change: Callable[[str | None], str | None]) -> DataFrame:
+    """``docs`` with ``change`` applied to every text, and ``n_chars``, where there is one, brought up to date."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.schema.get_field_index("text")
+            field = batch.schema.field(at)
+            yield batch.set_column(at, field, pa.array(map(change, batch["text"].to_pylist()), field.type))
+
+    return counted(docs.mapInArrow(run, docs.schema))
+
+
+def counted(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``n_chars``, where there is one, as the length of the text."""
+    if "n_chars" not in docs.columns:
+        return docs
+    length = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return docs.select(*(length.alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns))

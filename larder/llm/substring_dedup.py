@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.llm.shared import id_and_text, settled
+from larder.llm.shared import counted, id_and_text, settled
 
 REACH = 16
 LONGEST = 1024
@@ -189,4 +189,4 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             new = batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
             yield new.select(names).filter(pa.array(left))
 
-    return docs.join(spans, "doc_id", "left").select(*names, added).mapInArrow(cut, docs.schema)
+    return counted(docs.join(spans, "doc_id", "left").select(*names, added).mapInArrow(cut, docs.schema))
