@@ -35,6 +35,8 @@ SLOTS = 1 << 20
 USUAL_SHARE = 1e-5
 BLOCK = 1 << 14
 FAN_IN = 64
+#: Symbols of a language that a task gathers before it counts their n-grams: bounds its memory, not what is counted.
+WAITING = 1 << 18
 PREDICTED = "doc_id bigint, lang_pred string, score double"
 
 
@@ -65,9 +67,13 @@ def slots(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if order in ORDERS:
             hashes.append(gram)
     mixed = np.concatenate(hashes)
-    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    hashes.clear()
+    mixed ^= mixed >> np.uint64(29)
+    mixed *= np.uint64(0xBF58476D1CE4E5B9)
     mixed ^= mixed >> np.uint64(32)
-    return (mixed & np.uint64(SLOTS - 1)).astype(np.int64), (mixed >> np.uint64(40) & np.uint64(SLOTS - 1)).astype(np.int64)
+    second = (mixed >> np.uint64(40) & np.uint64(SLOTS - 1)).astype(np.int32)
+    mixed &= np.uint64(SLOTS - 1)
+    return mixed.astype(np.int32), second
 
 
 def count_slots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -91,7 +97,7 @@ def count_slots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     counts[lang], total[lang] = np.zeros(SLOTS, np.int64), 0
                 waiting.setdefault(lang, []).append(symbols)
                 held[lang] = held.get(lang, 0) + len(symbols)
-                if held[lang] >= SLOTS:
+                if held[lang] >= WAITING:
                     count(lang)
                     held[lang] = 0
     for lang in list(waiting):
