@@ -217,10 +217,15 @@ def weighted_sample(
 
     Each row draws -ln(u) / weight and the smallest draws win, which equals
     picking rows one by one with probability proportional to weight. ``key`` is
-    unique within a group, and ``share`` the same for all its rows.
+    unique within a group, and ``share`` the same for all its rows. Rows whose
+    weight is zero, negative or missing count for the size of the sample and are never drawn.
     """
     uniform = (hashed(F.concat_ws(":", F.col(group), F.col(key)), seed) + F.lit(0.5)) / F.lit(float(2**HASH_BITS))
-    drawn = df.withColumn("_draw", -F.ln(uniform) / weight.cast("double")).withColumn("_share", share)
+    drawn = (
+        df.withColumns({"_weight": weight.cast("double"), "_share": share})
+        .filter("_weight > 0")
+        .withColumn("_draw", -F.ln(uniform) / F.col("_weight"))
+    )
     ranked = ordered_rank(
         drawn, [group], [F.floor(F.col("_draw") * 65536).cast("bigint")], [F.col("_draw"), F.col(key)], "_nth"
     )

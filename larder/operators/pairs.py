@@ -2,70 +2,75 @@
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SEED_ITEMS = 64
 BLOCK_ITEMS = 500
-# Pairs per line up to which enumerating all of them is cheaper than finding out which to skip.
-PLAIN_PAIRS_PER_LINE = 32
+# Below any class of energies.
+ALL_CLASSES = -1_000_000
 
 
-def _count_pairs(left: DataFrame, right: DataFrame, keys: list[str], item: str, bar: float | None = None) -> DataFrame:
+def _count_pairs(left: DataFrame, right: DataFrame, keys: list[str], item: str, bar: Column | None = None) -> DataFrame:
     a, b = left.alias("a"), right.alias("b")
     match = F.col(f"a.{item}") < F.col(f"b.{item}")
     for key in keys:
         match = match & (F.col(f"a.{key}") == F.col(f"b.{key}"))
+    met = a.join(b, match)
     if bar is not None:
-        match = match & (F.col("a.energy") * F.col("b.energy") >= bar)
-    # both sides are the same facts: one shuffle by basket serves both and spreads the pairs
-    return (
-        a.hint("merge")
-        .join(b, match)
-        .groupBy(F.col(f"a.{item}").alias("item_a"), F.col(f"b.{item}").alias("item_b"))
-        .agg(F.sum(F.col("a.copies") * F.col("b.copies")).alias("times"))
+        met = met.filter(F.col("a.energy") * F.col("b.energy") >= bar)
+    return met.groupBy(F.col(f"a.{item}").alias("item_a"), F.col(f"b.{item}").alias("item_b")).agg(
+        F.sum(F.col("a.copies") * F.col("b.copies")).alias("times")
     )
 
 
-def _count_wide(rows: DataFrame, wide: DataFrame, basket: str, item: str, block_items: int, bar: float | None) -> DataFrame:
-    """Pairs of the wide baskets, cell by cell of a grid.
+def _cells(rows: DataFrame, basket: str, item: str, block_items: int, bar: Column) -> DataFrame:
+    """``rows`` with the cells (row, col) of their basket's grid in which they meet others.
 
-    Items of a basket are classed by the half-octave of their energy and each
-    class is cut into parts of about ``block_items``. A cell joins one part with
-    another, and only cells whose classes can reach the bar exist; a basket has
-    at most some 130 classes, whatever its width.
+    A basket of up to ``block_items`` items is one cell. Items of a wider one are
+    classed by the half-octave of their energy and each class is cut into parts
+    of about ``block_items``. A cell joins one part with another, and only cells
+    whose classes can reach the bar exist; a basket has at most some 130
+    classes, whatever its width.
     """
-    if bar is None:
-        level, reach = F.lit(0), F.lit(0)
-    else:
-        level = F.floor(F.log2("energy") * 2).cast("int")
-        # both energies lie below 2^((level + 1) / 2); rounded down, so that no candidate is lost
-        reach = F.lit(int(math.floor(math.log2(bar) * 2)) - 3) - F.col("level")
-    inside = rows.join(wide.select(basket), basket, "left_semi").withColumn("level", level)
+    level = F.floor(F.log2("energy") * 2).cast("int")
+    classed = rows.withColumn("level", level)
     grid = (
-        inside.groupBy(basket, "level")
-        .agg(F.ceil(F.count(F.lit(1)) / block_items).cast("int").alias("parts"))
+        classed.groupBy(basket, "level")
+        .agg(F.count(F.lit(1)).alias("items"))
         .groupBy(basket)
-        .agg(F.collect_list(F.struct("level", "parts")).alias("classes"))
+        .agg(
+            F.sum("items").alias("width"),
+            F.collect_list(
+                F.struct("level", F.ceil(F.col("items") / block_items).cast("int").alias("parts"))
+            ).alias("classes"),
+        )
+    )
+    one_cell = F.array(F.struct(F.lit(0).alias("level"), F.lit(1).alias("parts")))
+    grid = grid.select(
+        basket,
+        (F.col("width") <= block_items).alias("narrow"),
+        F.when(F.col("width") <= block_items, one_cell).otherwise(F.col("classes")).alias("classes"),
+    )
+    # both energies lie below 2^((level + 1) / 2); rounded down, so that no candidate is lost
+    lowest = F.when(bar > 0, F.floor(F.log2(bar) * 2).cast("int") - 3).otherwise(ALL_CLASSES)
+    placed = (
+        classed.join(grid, basket)
+        .withColumn("level", F.when(F.col("narrow"), 0).otherwise(F.col("level")))
+        .withColumn("reach", F.when(F.col("narrow"), ALL_CLASSES).otherwise(lowest - F.col("level")))
     )
     mine = F.filter("classes", lambda c: c["level"] == F.col("level"))[0]["parts"]
-    cut = inside.join(grid, basket).withColumn("part", F.pmod(F.xxhash64(item), mine).cast("int"))
     partners = F.flatten(
         F.transform(
-            F.filter("classes", lambda c: c["level"] >= reach),
+            F.filter("classes", lambda c: c["level"] >= F.col("reach")),
             lambda c: F.transform(
                 F.sequence(F.lit(0), c["parts"] - 1), lambda part: F.struct(c["level"].alias("level"), part.alias("part"))
             ),
         )
     )
-    met = cut.select(basket, item, *[c for c in ("copies", "energy") if c in rows.columns], "level", "part",
-                     F.explode(partners).alias("other"))
-    own, other = F.struct("level", "part"), F.col("other")
-    left = met.withColumn("row", own).withColumn("col", other)
-    right = met.withColumn("row", other).withColumn("col", own)
-    return _count_pairs(left, right, [basket, "row", "col"], item, bar)
+    return placed.withColumn("part", F.pmod(F.xxhash64(item), mine).cast("int")).select(
+        basket, item, "copies", "energy", F.struct("level", "part").alias("own"), F.explode(partners).alias("other")
+    )
 
 
 def frequent_pairs(
@@ -75,59 +80,36 @@ def frequent_pairs(
     k: int,
     seed_items: int = SEED_ITEMS,
     block_items: int = BLOCK_ITEMS,
-    plain_pairs: float = PLAIN_PAIRS_PER_LINE,
 ) -> DataFrame:
     """(item_a, item_b, times) for at least every pair that can reach the ``k`` highest counts.
 
     ``times`` counts line pairs of one basket, so repeated lines multiply. Ties
     with the k-th count are all present; the caller ranks and cuts.
 
-    Baskets of ordinary size are joined with themselves. Emitting every pair of
-    every basket explodes with wide baskets, so where the basket sizes say so
-
-    * repeated lines are merged first, and their counts multiply instead;
-    * with energy(i) = sum over baskets of copies(i)^2, Cauchy-Schwarz bounds a
+    * Repeated lines are merged first, and their counts multiply instead.
+    * With energy(i) = sum over baskets of copies(i)^2, Cauchy-Schwarz bounds a
       pair by sqrt(energy(a) * energy(b)). The exact k-th count among the
       ``seed_items`` heaviest items is a floor for the answer, and a pair whose
-      bound lies below that floor is never emitted;
-    * a basket wider than ``block_items`` is joined part against part, so no
+      bound lies below that floor is never counted. (If these items have fewer
+      than ``k`` pairs there is no floor.)
+    * A basket wider than ``block_items`` is joined part against part, so no
       task enumerates more than about block_items^2 pairs of it at a time, and
       parts whose items cannot reach the floor together never meet.
 
-    The sizes are probed by small jobs; at most ``seed_items`` rows reach the driver.
+    All of it is one plan: the floor is a scalar subquery, nothing runs before.
     """
-    width = F.col("width").cast("double")
-    sizes = lines.groupBy(basket).agg(F.count(F.lit(1)).alias("width"))
-    shape = sizes.agg(F.sum(width * width / 2).alias("pairs"), F.sum(width).alias("lines"), F.max("width").alias("widest")).first()
-    plain = shape["pairs"] is None or shape["pairs"] <= plain_pairs * shape["lines"]
-    if plain and (shape["widest"] or 0) <= block_items:
-        single = lines.select(basket, item, F.lit(1).cast("bigint").alias("copies"))
-        return _count_pairs(single, single, [basket], item)
-
     merged = lines.groupBy(basket, item).agg(F.count(F.lit(1)).alias("copies"))
     copies = F.col("copies").cast("double")
     energy = merged.groupBy(item).agg(F.sum(copies * copies).alias("energy"))
-    heaviest = (
-        energy.orderBy(F.desc("energy"), item)
-        .limit(seed_items)
-        .withColumn("least", energy.agg(F.min("energy")).scalar())
-        .collect()
-    )
-    peak, least = heaviest[0]["energy"], heaviest[0]["least"]
-    seeds = [row[item] for row in heaviest]
-    seeded = lines.filter(F.col(item).isin(seeds)).groupBy(basket, item).agg(F.count(F.lit(1)).alias("copies"))
-    best = _count_pairs(seeded, seeded, [basket], item).orderBy(F.desc("times")).limit(k).collect()
-    floor = best[-1]["times"] if len(best) == k else 0
+    seeds = energy.orderBy(F.desc("energy"), item).limit(seed_items).select(item)
+    seeded = merged.join(seeds, item, "left_semi")
+    best = _count_pairs(seeded, seeded, [basket], item).orderBy(F.desc("times")).limit(k)
+    floor = best.agg(F.when(F.count(F.lit(1)) == k, F.min("times")).otherwise(0).alias("floor")).scalar().cast("double")
     # a hair low, so that floating-point error can never drop a true candidate
-    bar = float(floor) ** 2 * (1 - 1e-9)
-
-    rows, pair_bar = merged, None
-    if least * least < bar:
-        rows, pair_bar = merged.join(energy.filter(F.col("energy") * peak >= bar), item), bar
-    if shape["widest"] <= block_items:
-        return _count_pairs(rows, rows, [basket], item, pair_bar)
-    wide = rows.groupBy(basket).agg(F.count(F.lit(1)).alias("width")).filter(F.col("width") > block_items)
-    narrow = rows.join(wide, basket, "left_anti")
-    pairs = _count_pairs(narrow, narrow, [basket], item, pair_bar)
-    wide_pairs = _count_wide(rows, wide, basket, item, block_items, pair_bar)
-    return pairs.unionByName(wide_pairs).groupBy("item_a", "item_b").agg(F.sum("times").alias("times"))
+    bar = floor * floor * (1 - 1e-9)
+    peak = energy.agg(F.max("energy").alias("peak")).scalar()
+    rows = merged.join(energy.filter(F.col("energy") * peak >= bar), item)
+    met = _cells(rows, basket, item, block_items, bar)
+    left = met.withColumn("row", F.col("own")).withColumn("col", F.col("other"))
+    right = met.withColumn("row", F.col("other")).withColumn("col", F.col("own"))
+    return _count_pairs(left, right, [basket, "row", "col"], item, bar)

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 
 def _calendar(by: Sequence[str], time: str):
-    return Window.partitionBy(*by).orderBy(time) if by else Window.orderBy(time)
+    """Ascending time with a missing time last, as in PostgreSQL."""
+    return Window.partitionBy(*by).orderBy(F.asc_nulls_last(time))
 
 
 def with_previous(series: DataFrame, time: str, value: str, out: str, by: Sequence[str] = ()) -> DataFrame:
@@ -18,7 +19,7 @@ def with_previous(series: DataFrame, time: str, value: str, out: str, by: Sequen
 
 
 def with_running_sum(series: DataFrame, time: str, value: str, out: str) -> DataFrame:
-    frame = Window.orderBy(time).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    frame = _calendar((), time).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     return series.withColumn(out, F.sum(value).over(frame))
 
 
@@ -26,5 +27,5 @@ def with_moving_mean(series: DataFrame, time: str, value: str, rows: int, out: s
     """Mean over the last ``rows`` rows of the series; missing days are not filled in."""
     from larder.functions.money import ratio
 
-    frame = Window.orderBy(time).rowsBetween(1 - rows, Window.currentRow)
+    frame = _calendar((), time).rowsBetween(1 - rows, Window.currentRow)
     return series.withColumn(out, ratio(F.sum(value).over(frame), F.count(value).over(frame), places))

@@ -26,7 +26,7 @@ TABLES = {
         l_orderkey AS order_id, l_partkey AS product_id, l_shipdate AS return_date,
         CASE WHEN l_linestatus = 'F' THEN 'Approved' ELSE 'Rejected' END AS return_status,
         (CAST(ROUND(l_extendedprice * 100) AS BIGINT) * CAST(ROUND(l_discount * 100) AS BIGINT) * 20 + 50) // 100
-            AS refund_c FROM lineitem WHERE l_returnflag = 'R' AND l_quantity <= 2""",
+            AS refund_c FROM lineitem WHERE l_returnflag = 'R'""",
     "stock": """SELECT l_suppkey AS store_id, l_partkey AS product_id,
         CAST(SUM(CAST(l_quantity AS INT)) % 50 AS BIGINT) AS current_stock,
         CAST(MAX(l_linenumber) AS BIGINT) AS reorder_level,

@@ -178,19 +178,21 @@ def top_by_month(t: RetailTables, k: int = 5) -> DataFrame:
         F.sum("total_order_value").alias("total_revenue")
     )
     order = [F.col("total_revenue").desc_nulls_first(), F.col("customer_id")]
-    return top_rows(monthly, ["month"], order, k).orderBy("month", "rank")
+    return top_rows(monthly, ["month"], order, k).orderBy(F.asc_nulls_last("month"), "rank")
 
 
 def top_in_category(t: RetailTables) -> DataFrame:
     """The biggest spender of each category.
 
-    A customer buys few products often, so summing before the product join
-    would not shrink the lines; they are summed once, per customer and category.
+    Lines meet orders first and are summed per customer and product: they are
+    shuffled once, by order, and best sellers are no hot keys of a join.
     """
     bought = (
         t.order_details.select("order_id", "product_id", "final_item_price")
-        .join(t.products.select("product_id", "category"), "product_id")
         .join(t.orders.select("order_id", "customer_id"), "order_id")
+        .groupBy("customer_id", "product_id")
+        .agg(F.sum("final_item_price").alias("final_item_price"))
+        .join(t.products.select("product_id", "category"), "product_id")
         .groupBy("category", "customer_id")
         .agg(F.sum("final_item_price").alias("total_product_revenue"))
         .join(t.customers.select("customer_id", "customer_name"), "customer_id")
@@ -199,7 +201,7 @@ def top_in_category(t: RetailTables) -> DataFrame:
     return (
         top_rows(bought, ["category"], order, 1)
         .select("category", "customer_id", "customer_name", "total_product_revenue")
-        .orderBy("category")
+        .orderBy(F.asc_nulls_last("category"))
     )
 
 
@@ -281,7 +283,7 @@ def new_and_repeat(t: RetailTables) -> DataFrame:
             F.count_if(new).alias("new_customers"),
             F.count_if(~new).alias("repeat_customers"),
         )
-        .orderBy("month")
+        .orderBy(F.asc_nulls_last("month"))
     )
 
 
@@ -303,7 +305,7 @@ def cohort_retention(t: RetailTables) -> DataFrame:
         active.withColumn("cohort_customers", size)
         .withColumn("retention_percentage", percent(F.col("acyive_customers"), F.col("cohort_customers")))
         .select("cohort_month", "activity_month", "cohort_customers", "acyive_customers", "retention_percentage")
-        .orderBy("cohort_month", "activity_month")
+        .orderBy(F.asc_nulls_last("cohort_month"), F.asc_nulls_last("activity_month"))
     )
 
 

@@ -9,10 +9,16 @@ from larder.functions.money import cents, mean, percent, ratio
 from larder.operators.pairs import frequent_pairs
 from larder.operators.prefix import running_total
 from larder.operators.ranking import top_rows
-from larder.operators.sizing import fits_broadcast
 from larder.sources.retail import RetailTables
 
 
+def _all_sales(t: RetailTables) -> DataFrame:
+    """Units and revenue per product id of the lines, lines without product being one group."""
+    return t.order_details.groupBy("product_id").agg(
+        F.sum("quantity").alias("quantity_sold"), F.sum("final_item_price").alias("revenue")
+    )
+
+
 def _sales(t: RetailTables) -> DataFrame:
     """Units and revenue per sold product id, before any product attribute is known.
 
@@ -38,11 +44,16 @@ def top_products(t: RetailTables, k: int = 10) -> DataFrame:
 
 
 def above_average(t: RetailTables) -> DataFrame:
-    sales = _sales(t).select("product_id", F.col("revenue").alias("product_revenue"))
+    """Products above the mean revenue of all product groups, that of lines without product included."""
+    sales = _all_sales(t).select("product_id", F.col("revenue").alias("product_revenue"))
     average = sales.agg(mean(F.col("product_revenue"))).scalar()
+    known = t.products.filter(F.col("product_id").isNotNull())
+    # a struct is never null: no null filter is derived for the sales, so the mean and the join share one aggregate
+    key = F.struct("product_id").alias("_key")
     return (
         sales.filter(F.col("product_revenue") > average)
-        .join(t.products.select("product_id", "product_name", "category"), "product_id")
+        .select("product_revenue", key)
+        .join(known.select("product_id", "product_name", "category", key), "_key")
         .select("product_id", "product_name", "category", "product_revenue")
         .orderBy(F.desc("product_revenue"), "product_id")
     )
@@ -57,15 +68,13 @@ def best_in_category(t: RetailTables) -> DataFrame:
 def pareto(t: RetailTables, pct: float = 80) -> DataFrame:
     """Products within the first ``pct`` percent of revenue, best sellers first.
 
-    The product count, read from file footers, decides whether one window may
-    hold all products or the running sum is taken bucket by bucket.
+    The running sum goes bucket by bucket of the revenue, so no task holds all products.
     """
-    known = t.products.count()
     sold = product_revenue(t, "product_name").select("product_id", "product_name", "revenue").filter(F.col("revenue").isNotNull())
     total = sold.agg(F.sum("revenue")).scalar()
     share_limit = F.lit(str(pct)).cast("decimal(9,4)")
     return (
-        running_total(sold, -cents(F.col("revenue")), "revenue", "running_revenue", rows=known)
+        running_total(sold, -cents(F.col("revenue")), "revenue", "running_revenue")
         .withColumn("_total", total)
         .filter(F.col("running_revenue") * 100 <= F.col("_total") * share_limit)
         .orderBy(F.desc("revenue"), "product_id")
@@ -151,20 +160,11 @@ def underperformers(t: RetailTables) -> DataFrame:
 
 
 def _known_lines(t: RetailTables) -> DataFrame:
-    """(order_id, product_id) of the lines whose product exists.
-
-    A small product table is matched in the scan's stage. With a large one the
-    lines would have to be shuffled, so first the distinct ids are looked at:
-    as a rule every product is known, and the lines stay where they are.
-    """
+    """(order_id, product_id) of the lines whose product exists."""
     lines = t.order_details.select("order_id", "product_id").filter(
         F.col("order_id").isNotNull() & F.col("product_id").isNotNull()
     )
     known = t.products.select("product_id")
-    if not fits_broadcast(known):
-        unknown = lines.select("product_id").distinct().join(known, "product_id", "left_anti")
-        if unknown.isEmpty():
-            return lines
     return lines.join(known, "product_id", "left_semi").select("order_id", "product_id")
 
 

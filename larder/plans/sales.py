@@ -9,7 +9,6 @@ from larder.functions.dates import day_of, month_of
 from larder.functions.money import mean, percent, ratio
 from larder.operators.prefix import id_buckets, ordered_rank
 from larder.operators.ranking import top_rows
-from larder.operators.sizing import fits_broadcast
 from larder.operators.series import with_moving_mean, with_previous, with_running_sum
 from larder.sources.retail import RetailTables
 
@@ -59,7 +58,7 @@ def month_over_month(t: RetailTables) -> DataFrame:
 def running_revenue(t: RetailTables) -> DataFrame:
     series = with_running_sum(monthly_revenue(t), "month", "monthly_revenue", "running_total_revenue")
     # sorted on the date, then shown as a label such as "Jan 2025"
-    return series.orderBy("month").select(
+    return series.orderBy(F.asc_nulls_last("month")).select(
         F.date_format("month", "MMM yyyy").alias("month"), "monthly_revenue", "running_total_revenue"
     )
 
@@ -68,7 +67,9 @@ def moving_average(t: RetailTables, rows: int = 7) -> DataFrame:
     daily = t.orders.groupBy(day_of(F.col("order_timestamp")).alias("day")).agg(
         F.sum("total_order_value").alias("daily_revenue")
     )
-    return with_moving_mean(daily, "day", "daily_revenue", rows, "moving_average_7_days").orderBy("day")
+    return with_moving_mean(daily, "day", "daily_revenue", rows, "moving_average_7_days").orderBy(
+        F.asc_nulls_last("day")
+    )
 
 
 def payment_methods(t: RetailTables) -> DataFrame:
@@ -122,30 +123,29 @@ def top_stores_by_month(t: RetailTables, k: int = 3) -> DataFrame:
         "month", "store_id", "store_name", F.col("_revenue").alias("total_revenue")
     )
     order = [F.col("total_revenue").desc_nulls_first(), F.col("store_id")]
-    return top_rows(monthly, ["month"], order, k).orderBy("month", "rank")
+    return top_rows(monthly, ["month"], order, k).orderBy(F.asc_nulls_last("month"), "rank")
 
 
 def monthly_category_revenue(t: RetailTables, revenue: str = "total_revenue") -> DataFrame:
     """Revenue per month and category; lines meet orders once, the one large join.
 
-    A product table small enough to be broadcast is joined in the same stage.
-    A larger one would need the lines shuffled by product, where best sellers
-    are hot keys: then lines are first summed per month and product.
+    They are summed per month and product before the products are joined, so
+    that best sellers are no hot keys there, whatever the size of that table.
     """
     months = t.orders.select("order_id", _month())
     sold = t.order_details.select("order_id", "product_id", "final_item_price").join(months, "order_id")
     categories = t.products.select("product_id", "category")
-    if not fits_broadcast(categories):
-        sold = sold.groupBy("month", "product_id").agg(F.sum("final_item_price").alias("final_item_price"))
     return (
-        sold.join(categories, "product_id")
+        sold.groupBy("month", "product_id")
+        .agg(F.sum("final_item_price").alias("final_item_price"))
+        .join(categories, "product_id")
         .groupBy("month", "category")
         .agg(F.sum("final_item_price").alias(revenue))
     )
 
 
 def category_by_month(t: RetailTables) -> DataFrame:
-    return monthly_category_revenue(t).orderBy("month", "category")
+    return monthly_category_revenue(t).orderBy(F.asc_nulls_last("month"), F.asc_nulls_last("category"))
 
 
 def category_month_over_month(t: RetailTables) -> DataFrame:
@@ -154,7 +154,7 @@ def category_month_over_month(t: RetailTables) -> DataFrame:
     return (
         with_previous(series, "month", "monthly_revenue", "previous_month_revenue", by=["category"])
         .withColumn("mom_growth_percentage", percent(now - before, before))
-        .orderBy("category", "month")
+        .orderBy(F.asc_nulls_last("category"), F.asc_nulls_last("month"))
     )
 
 
