@@ -4,7 +4,11 @@ Every vector is represented by its ``PREFIX`` nearest pivots in order and is pos
 the first ``POSTED`` of them. A query opens the files of its first ``OPENED`` pivots. Within a file the vectors are
 ranked by Spearman's footrule between the two orders (a pivot that is not in an order has
 the place after its last); the best ``RERANKED`` share of the file, ``LEAST`` at least, is
-ranked again by the inner product of the original vectors, in double precision.
+ranked again by the inner product of the original vectors, in double precision, together with all
+that are as far by footrule as the last of them.
+
+Equal vectors are posted once, with their ``k + 1`` smallest ``vec_id``s, and told apart after ranking: a large
+group of copies takes one place of a file, and a query finds its own copies however many there are.
 
 A file is dealt out in blocks of bounded size, by hash, and so are the queries that open it, so neither a
 pivot near to a large part of all vectors nor many queries meet in one task. A block returns
@@ -29,6 +33,8 @@ from larder.llm.shared import settled
 PIVOTS, PREFIX, POSTED, OPENED = 256, 128, 8, 32
 RERANKED, LEAST = 0.2, 256
 BLOCK, QUERY_BLOCK = 4096, 1024
+#: Parts in which the copies of one vector are cut to their smallest ids before these meet; any number gives the same ids.
+PARTS = 64
 
 
 def footrule(base: np.ndarray, query: np.ndarray, prefix: int) -> np.ndarray:
@@ -44,24 +50,52 @@ def rank_block(rows: pd.DataFrame, k: int, n_pivots: int) -> pd.DataFrame:
     base, queries = rows[~rows["is_query"]], rows[rows["is_query"]]
     out = []
     if len(base) and len(queries):
-        ids, vectors = base["vec_id"].to_numpy(), pivots.matrix(base["vector"].tolist())
+        vectors = pivots.matrix(base["vector"].tolist())
+        copies = [np.asarray(ids, np.int64) for ids in base["ids"]]  # in ascending order
+        lowest = np.array([ids[0] for ids in copies])
+        second = np.array([ids[1] if len(ids) > 1 else -1 for ids in copies])
+        several = np.array([len(ids) > 1 for ids in copies])
         orders = np.stack(base["nearest"].tolist()).astype(np.int64)
         prefix = orders.shape[1]
         place = np.full((len(base), n_pivots), prefix, np.int16)
         np.put_along_axis(place, orders, np.arange(prefix, dtype=np.int16)[None, :], axis=1)
-        keep = max(LEAST, k, int(RERANKED * len(ids)))
+        keep = max(LEAST, k, int(RERANKED * len(base)))
         for query_id, vector, nearest in zip(queries["vec_id"], queries["vector"], queries["nearest"], strict=True):
-            near = np.flatnonzero(ids != query_id)
+            near = np.flatnonzero((lowest != query_id) | several)
             if len(near) > keep:
                 distance = footrule(place, np.asarray(nearest, np.int64), prefix)[near]
-                near = near[np.argpartition(distance, keep)[:keep]]
+                near = near[distance <= np.partition(distance, keep - 1)[keep - 1]]
             score = (vectors[near] * np.frombuffer(vector, float)).sum(axis=1)
-            best = np.lexsort((ids[near], -score))[:k]
-            out.append(pd.DataFrame({"query_id": query_id, "vec_id": ids[near][best], "score": score[best]}))
+            first = np.where(lowest[near] == query_id, second[near], lowest[near])
+            best = np.lexsort((first, -score))[:k]  # the k best ids are all among the copies of these
+            if not len(best):
+                continue
+            found = np.concatenate([copies[i] for i in near[best]])
+            scores = np.repeat(score[best], [len(copies[i]) for i in near[best]])
+            found, scores = found[found != query_id], scores[found != query_id]
+            best = np.lexsort((found, -scores))[:k]
+            out.append(pd.DataFrame({"query_id": query_id, "vec_id": found[best], "score": scores[best]}))
     empty = pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
     return pd.concat(out) if out else empty
 
 
+def folded(index: DataFrame, k: int) -> DataFrame:
+    """A row for each distinct vector, under its smallest ``vec_id``; ``ids`` has its ``k + 1`` smallest, ascending."""
+    part = F.pmod(F.xxhash64("vec_id"), F.lit(PARTS)).alias("part")
+    in_part = Window.partitionBy("vector", "part").orderBy("vec_id")
+    smallest = (
+        index.select("vector", "vec_id", part)
+        .withColumn("nth", F.row_number().over(in_part))
+        .filter(F.col("nth") <= k + 1)
+        .groupBy("vector", "part")
+        .agg(F.collect_list("vec_id").alias("ids"))
+        .groupBy("vector")
+        .agg(F.slice(F.array_sort(F.flatten(F.collect_list("ids"))), 1, k + 1).alias("ids"))
+        .select(F.col("ids")[0].alias("vec_id"), "ids")
+    )
+    return settled(index.join(smallest, "vec_id").select("vec_id", "vector", "nearest", "ids"), "distinct-vectors")
+
+
 def search(vectors: DataFrame, queries: str, k: int = 20, n_pivots: int = PIVOTS) -> DataFrame:
     """The ``k`` nearest found for every vector that fulfils the condition ``queries``: query_id, rank, vec_id, score."""
     valid = pivots.valid_vectors(vectors).dropDuplicates(["vec_id"])
@@ -71,9 +105,15 @@ def search(vectors: DataFrame, queries: str, k: int = 20, n_pivots: int = PIVOTS
     prefix = min(PREFIX, n)
     index = settled(pivots.placed(valid, chosen, prefix), "permutations")
 
-    posted = index.select("vec_id", "vector", "nearest", F.explode(F.slice("nearest", 1, POSTED)).alias("pivot"))
+    posted = folded(index, k).select(
+        "vec_id", "vector", "nearest", "ids", F.explode(F.slice("nearest", 1, POSTED)).alias("pivot")
+    )
     asked = index.filter(queries).select(
-        "vec_id", "vector", "nearest", F.explode(F.slice("nearest", 1, OPENED)).alias("pivot")
+        "vec_id",
+        "vector",
+        "nearest",
+        F.lit(None).cast("array<bigint>").alias("ids"),
+        F.explode(F.slice("nearest", 1, OPENED)).alias("pivot"),
     )
 
     def blocks(rows: DataFrame, size: int):

@@ -81,6 +81,19 @@ def test_nearest(frame, monkeypatch):
     assert {r.query_id for r in out} == set(range(0, len(rows), 20))
 
 
+def test_nearest_with_one_vector_in_a_third_of_the_rows(frame):
+    rng = np.random.default_rng(4)
+    vectors = rng.normal(size=(3000, 16))
+    vectors /= np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
+    vectors[::3] = vectors[0]
+    rows = [(i, [float(np.float32(x)) for x in v]) for i, v in enumerate(vectors)]
+    out = nearest.search(frame(rows), "vec_id % 300 in (0, 1)").collect()
+    for q in range(0, 3000, 300):  # its own copies, the smallest ids first
+        mine = [r.vec_id for r in sorted(out, key=lambda r: r.rank) if r.query_id == q]
+        assert mine == [i for i in range(0, 66, 3) if i != q][:20]
+    assert all(sum(r.query_id == q for r in out) == 20 for q in range(1, 3000, 300))
+
+
 def test_few_and_no_vectors(frame):
     rows = [(20, [1.0, 0.0]), (40, [0.0, 1.0]), (3, [1.0, 1.0])]
     out = nearest.search(frame(rows), "vec_id % 20 = 0").orderBy("query_id", "rank").collect()
