@@ -14,12 +14,13 @@ from larder.llm import (
     near_vectors,
     nearest,
     packing,
+    ranked_search,
     secret_scan,
     substring_dedup,
     token_counts,
     transducer,
 )
-from larder.llm.shared import documents, embeddings, shipped, tokenizer_file
+from larder.llm.shared import benchmark, documents, embeddings, shipped, tokenizer_file
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,6 +67,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), tokenizer_file("piece_bpe_32k.model"))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(documents(spark, sf_dir), benchmark(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     found = [
         op1_sentencepiece,
@@ -78,9 +83,10 @@ def queries() -> dict[str, Query]:
         op8_language_id,
         op9_nearest_neighbours,
         op10_token_counts,
+        op12_ranked_search,
     ]
     return {run.__name__: shipped(run) for run in found} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op12_ranked_search": ranked_search.oracle()}

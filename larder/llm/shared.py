@@ -10,7 +10,9 @@ import uuid
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +49,10 @@ def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, "embeddings.parquet"))
 
 
+def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(os.path.join(sf_dir, "benchmark.parquet"))
+
+
 def tokenizer_file(name: str) -> str:
     """The place of a public tokenizer's file, the same on every machine of the cluster."""
     import public_tokenizers
@@ -103,3 +109,35 @@ def counted(docs: DataFrame) -> DataFrame:
         return docs
     length = F.length("text").cast(docs.schema["n_chars"].dataType)
     return docs.select(*(length.alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns))
+
+
+#: Bytes of text that are turned into Python objects at a time.
+TEXT_BYTES = 1 << 22
+
+
+def by_bytes(batch: pa.RecordBatch, column: str = "text", limit: int = TEXT_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``limit`` bytes of ``column`` each, one row at least; never an empty slice."""
+    if not batch.num_rows:
+        return
+    sizes = pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False)
+    share = np.cumsum(sizes, dtype=np.int64) // limit
+    edges = [0, *(np.flatnonzero(np.diff(share)) + 1).tolist(), batch.num_rows]
+    for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+        yield batch.slice(lo, hi - lo)
+
+
+def word_lists(raw: bytes, limit: int = 1 << 20) -> Iterator[list[bytes]]:
+    """The words between white space, in lists of about ``limit`` bytes; only spaces are looked at to cut."""
+    at = 0
+    while at < len(raw):
+        end = raw.find(b" ", at + limit) if len(raw) - at > limit else -1
+        end = len(raw) if end < 0 else end
+        yield raw[at:end].split()
+        at = end
+
+
+def list_array(parts: list[np.ndarray]) -> pa.ListArray:
+    """A list column from one array per row."""
+    offsets = np.concatenate(([0], np.cumsum([len(p) for p in parts], dtype=np.int64)))
+    values = np.concatenate(parts) if parts else np.zeros(0, np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values))
