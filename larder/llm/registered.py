@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from larder.llm import (
+    alignment,
     jaccard_join,
     language_id,
     license_scan,
@@ -20,7 +21,7 @@ from larder.llm import (
     token_counts,
     transducer,
 )
-from larder.llm.shared import benchmark, documents, embeddings, shipped, tokenizer_file
+from larder.llm.shared import benchmark, documents, embeddings, shipped, tokenizer_file, tokenizer_pattern
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,6 +68,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), tokenizer_file("piece_bpe_32k.model"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks, pattern = tokenizer_file("byte_bpe_50k.tiktoken"), tokenizer_pattern()
+    paths = tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model")
+    return alignment.align(documents(spark, sf_dir), *paths, ranks, pattern)
+
+
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search.search(documents(spark, sf_dir), benchmark(spark, sf_dir))
 
@@ -83,6 +90,7 @@ def queries() -> dict[str, Query]:
         op8_language_id,
         op9_nearest_neighbours,
         op10_token_counts,
+        op11_token_alignment,
         op12_ranked_search,
     ]
     return {run.__name__: shipped(run) for run in found} | {"pipeline": corpus_pipeline.run}

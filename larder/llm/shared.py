@@ -60,6 +60,13 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def tokenizer_pattern() -> str:
+    """The pattern by which the byte-level tokenizers cut texts."""
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN
+
+
 def id_and_text(docs: DataFrame) -> DataFrame:
     """The two columns that text operators read; whatever else the table has stays in the scan."""
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
