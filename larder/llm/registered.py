@@ -12,6 +12,7 @@ from larder.llm import (
     jaccard_join,
     language_id,
     license_scan,
+    lm_scoring,
     near_vectors,
     nearest,
     packing,
@@ -78,6 +79,10 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search.search(documents(spark, sf_dir), benchmark(spark, sf_dir))
 
 
+def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_documents(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     found = [
         op1_sentencepiece,
@@ -92,6 +97,7 @@ def queries() -> dict[str, Query]:
         op10_token_counts,
         op11_token_alignment,
         op12_ranked_search,
+        op13_lm_scoring,
     ]
     return {run.__name__: shipped(run) for run in found} | {"pipeline": corpus_pipeline.run}
 
