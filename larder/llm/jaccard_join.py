@@ -31,18 +31,19 @@ from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.llm.components import connected
-from larder.llm.shared import id_and_text, settled
+from larder.llm.shared import by_bytes, id_and_text, release, settled
 
 WORDS = 5
 #: Documents looked at together for frequent shingles, and in how many of them a shingle is frequent.
 WINDOW, FREQUENT = 1000, 4
+#: Shingles held for that at most: long documents make a window of fewer.
+WINDOW_SHINGLES = 1 << 20
 #: Frequent shingles that are put last; any number gives the same links.
 LAST = 1 << 17
 #: Documents searched together for one query.
@@ -183,22 +184,26 @@ def described(docs: DataFrame) -> DataFrame:
             often = times >= FREQUENT
             return None, -1, None, None, found[often].view(np.int64), times[often]
 
+        held = 0
         for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
-                found = shingles(text)
-                if not len(found):
-                    rows.append((doc_id, 0, None, None, None, None))
-                    continue
-                digest = xxhash.xxh3_128_digest(found.tobytes())
-                rows.append((doc_id, len(found), digest, bitmap(found), None, None))
-                window[digest] = found
-                if len(window) >= WINDOW:
-                    rows.append(frequent())
-            if rows:
+            for some in by_bytes(batch):
+                rows = []
+                for doc_id, text in zip(some["doc_id"].to_pylist(), some["text"].to_pylist(), strict=True):
+                    found = shingles(text)
+                    if not len(found):
+                        rows.append((doc_id, 0, None, None, None, None))
+                        continue
+                    digest = xxhash.xxh3_128_digest(found.tobytes())
+                    rows.append((doc_id, len(found), digest, bitmap(found), None, None))
+                    held += 0 if digest in window else len(found)
+                    window[digest] = found
+                    if len(window) >= WINDOW or held >= WINDOW_SHINGLES:
+                        rows.append(frequent())
+                        held = 0
                 yield rows_of(rows)
         if window:
             yield rows_of([frequent()])
+        release()
 
     schema = "doc_id bigint, n bigint, digest binary, bits binary, frequent array<bigint>, times array<bigint>"
     return settled(id_and_text(docs).mapInArrow(describe, schema), "shingle-sets")
@@ -225,20 +230,20 @@ def short_lists(docs: DataFrame, last: list[int]) -> DataFrame:
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            first, owner, place = [], [], []
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
-                found = shingles(text)
-                keep = len(found) - (4 * len(found) + 4) // 5 + 1
-                if len(by_hash) and len(found):
-                    at = np.minimum(np.searchsorted(by_hash, found), len(by_hash) - 1)
-                    late = by_hash[at] == found
-                    ranks = np.where(late, by_hash_order[at] + 1, 0)
-                    found = found[np.argsort(ranks, kind="stable")]
-                found = found[:keep]
-                first.append(found.view(np.int64))
-                owner.append(np.full(len(found), doc_id, np.int64))
-                place.append(np.arange(len(found), dtype=np.int32))
-            if first:
+            for some in by_bytes(batch):
+                first, owner, place = [], [], []
+                for doc_id, text in zip(some["doc_id"].to_pylist(), some["text"].to_pylist(), strict=True):
+                    found = shingles(text)
+                    keep = len(found) - (4 * len(found) + 4) // 5 + 1
+                    if len(by_hash) and len(found):
+                        at = np.minimum(np.searchsorted(by_hash, found), len(by_hash) - 1)
+                        late = by_hash[at] == found
+                        ranks = np.where(late, by_hash_order[at] + 1, 0)
+                        found = found[np.argsort(ranks, kind="stable")]
+                    found = found[:keep]
+                    first.append(found.view(np.int64))
+                    owner.append(np.full(len(found), doc_id, np.int64))
+                    place.append(np.arange(len(found), dtype=np.int32))
                 columns = [pa.array(np.concatenate(c)) for c in (first, owner, place)]
                 yield pa.RecordBatch.from_arrays(columns, ["shingle", "doc_id", "at"])
 
@@ -276,29 +281,33 @@ def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, name: str) -> D
     queries = blocks.select("a", "block").distinct().join(texts, F.col("a") == F.col("doc_id"))
     rows = members.union(queries.select("a", "block", F.lit(0).alias("member"), "doc_id", "text"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, query, ids, found = None, None, [], []
 
-        def links() -> pd.DataFrame:
+        def links() -> pa.RecordBatch:
             near = search(query, found) if ids and query is not None else []
-            return pd.DataFrame({"a": [key[0]] * len(near), "b": [ids[i] for i in near]}, dtype="int64")
+            columns = [pa.array([key[0]] * len(near), pa.int64()), pa.array([ids[i] for i in near], pa.int64())]
+            return pa.RecordBatch.from_arrays(columns, ["a", "b"])
 
         for batch in batches:
-            for a, block, member, doc_id, text in batch.itertuples(index=False):
-                if (a, block) != key:
-                    if key is not None:
-                        yield links()
-                    key, query, ids, found = (a, block), None, [], []
-                if member:
-                    ids.append(doc_id)
-                    found.append(shingles(text))
-                else:
-                    query = shingles(text)
+            for some in by_bytes(batch):
+                for a, block, member, doc_id, text in zip(*(c.to_pylist() for c in some.columns), strict=True):
+                    if (a, block) != key:
+                        if key is not None:
+                            yield links()
+                        key, query, ids, found = (a, block), None, [], []
+                    if member:
+                        ids.append(doc_id)
+                        found.append(shingles(text))
+                    else:
+                        query = shingles(text)
         if key is not None:
             yield links()
+        del found
+        release()
 
     in_blocks = rows.repartition("a", "block").sortWithinPartitions("a", "block", "member")
-    return settled(in_blocks.mapInPandas(run, "a bigint, b bigint").distinct(), f"{name}-links")
+    return settled(in_blocks.mapInArrow(run, "a bigint, b bigint").distinct(), f"{name}-links")
 
 
 def similar(docs: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -9,7 +9,8 @@ would contain by chance (its false-positive rate) is taken off.
 ``fit`` counts slots over all labelled documents: every task adds its documents into one
 table per language, and the tables are summed in two levels, so that what moves depends
 on the number of tasks and not on the texts. The model has ``SLOTS`` bits per language
-(128 KiB), which is its proven size when it is sent to the executors.
+(128 KiB), 64 languages to a mask word and as many words as the languages need; that is its size when it is
+sent to the executors.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0, and so is
 every text if nothing was learned; ties go to the language first in code-point order;
@@ -28,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from larder.llm.shared import by_bytes, id_and_text, release
+
 UNKNOWN = "und"
 ORDERS = (3, 4)
 SLOTS = 1 << 20
@@ -37,6 +40,10 @@ BLOCK = 1 << 14
 FAN_IN = 64
 #: Symbols of a language that a task gathers before it counts their n-grams: bounds its memory, not what is counted.
 WAITING = 1 << 18
+#: Languages whose tables (4 MiB each) a task holds at a time.
+TABLES = 8
+#: Languages of one mask word.
+WORD = 64
 PREDICTED = "doc_id bigint, lang_pred string, score double"
 
 
@@ -76,7 +83,7 @@ def slots(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return mixed.astype(np.int32), second
 
 
-def count_slots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def count_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per language and block of slots that a task has seen."""
     counts: dict[str, np.ndarray] = {}
     total: dict[str, int] = {}
@@ -84,29 +91,41 @@ def count_slots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     held: dict[str, int] = {}
 
     def count(lang: str) -> None:
-        first, second = slots(np.concatenate(waiting.pop(lang)))
-        for found in (first, second):
-            counts[lang] += np.bincount(found, minlength=SLOTS)
-        total[lang] += len(first)
+        for found in slots(np.concatenate(waiting.pop(lang))):
+            np.add.at(counts[lang], found, np.int32(1))
+        total[lang] += held[lang]
+        held[lang] = 0
+
+    def tables() -> Iterator[pa.RecordBatch]:
+        for lang in list(waiting):
+            count(lang)
+        for lang, table in counts.items():
+            blocks = [b for b in range(SLOTS // BLOCK) if table[b * BLOCK : (b + 1) * BLOCK].any()]
+            columns = [
+                pa.array([lang] * len(blocks)),
+                pa.array(blocks, pa.int32()),
+                pa.array([table[b * BLOCK : (b + 1) * BLOCK].tobytes() for b in blocks], pa.binary()),
+                pa.array([total[lang]] * len(blocks), pa.int64()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "block", "counts", "grams"])
+        for kept in (counts, total, held):
+            kept.clear()
 
     for batch in batches:
-        for text, lang in zip(batch["text"], batch["lang"], strict=True):
-            symbols = letters_and_gaps(text)
-            if len(symbols):
-                if lang not in counts:
-                    counts[lang], total[lang] = np.zeros(SLOTS, np.int64), 0
-                waiting.setdefault(lang, []).append(symbols)
-                held[lang] = held.get(lang, 0) + len(symbols)
-                if held[lang] >= WAITING:
-                    count(lang)
-                    held[lang] = 0
-    for lang in list(waiting):
-        count(lang)
-    for lang, table in counts.items():
-        for block in range(SLOTS // BLOCK):
-            part = table[block * BLOCK : (block + 1) * BLOCK]
-            if part.any():
-                yield pd.DataFrame({"lang": [lang], "block": [block], "counts": [part.tobytes()], "grams": [total[lang]]})
+        for some in by_bytes(batch):
+            for text, lang in zip(some["text"].to_pylist(), some["lang"].to_pylist(), strict=True):
+                symbols = letters_and_gaps(text)
+                if len(symbols):
+                    if lang not in counts:
+                        if len(counts) >= TABLES:
+                            yield from tables()
+                        counts[lang], total[lang], held[lang] = np.zeros(SLOTS, np.int32), 0, 0
+                    waiting.setdefault(lang, []).append(symbols)
+                    held[lang] += len(symbols)
+                    if held[lang] >= WAITING:
+                        count(lang)
+    yield from tables()
+    release()
 
 
 def add_tables(tables: DataFrame, *keys: str) -> DataFrame:
@@ -116,7 +135,7 @@ def add_tables(tables: DataFrame, *keys: str) -> DataFrame:
         counts, grams = np.zeros(BLOCK, np.int64), 0
         for part in parts:
             for table in part["counts"]:
-                counts += np.frombuffer(table, np.int64)
+                counts += np.frombuffer(table, np.int32 if len(table) == 4 * BLOCK else np.int64)
             grams += int(part["grams"].sum())
         yield pd.DataFrame({**{k: [v] for k, v in zip(keys, key, strict=True)}, "counts": [counts.tobytes()], "grams": [grams]})
 
@@ -126,11 +145,11 @@ def add_tables(tables: DataFrame, *keys: str) -> DataFrame:
 
 
 class LanguageFilters:
-    """Bit-sliced filters: ``masks[i]`` has bit j set if slot i is set for ``languages[j]``."""
+    """Bit-sliced filters: bit j of ``masks[w][i]`` is set if slot i is set for ``languages[64 w + j]``."""
 
     def __init__(self, languages: list[str], masks: np.ndarray):
-        self.languages, self.masks = languages, masks
-        filled = [float((masks >> np.uint64(j) & np.uint64(1)).mean()) for j in range(len(languages))]
+        self.languages, self.masks = languages, masks = languages, masks.reshape(-1, SLOTS)
+        filled = [float((masks[j // WORD] >> np.uint64(j % WORD) & np.uint64(1)).mean()) for j in range(len(languages))]
         self.chance = np.array(filled) ** 2
 
     def hits(self, text: str | None) -> tuple[np.ndarray, int]:
@@ -139,13 +158,15 @@ class LanguageFilters:
         if not len(symbols):
             return np.zeros(len(self.languages)), 0
         first, second = slots(symbols)
-        held = self.masks[first] & self.masks[second]
-        if len(self.languages) <= 12:
-            by_mask = np.bincount(held.astype(np.int64), minlength=1 << len(self.languages))
-            bits = np.arange(len(by_mask))
-            found = [by_mask[bits >> j & 1 == 1].sum() for j in range(len(self.languages))]
-        else:
-            found = [int((held >> np.uint64(j) & np.uint64(1)).sum()) for j in range(len(self.languages))]
+        found = []
+        for word, masks in enumerate(self.masks):
+            held, bits = masks[first] & masks[second], min(WORD, len(self.languages) - WORD * word)
+            if bits <= 12:
+                by_mask = np.bincount(held.astype(np.int64), minlength=1 << bits)
+                numbers = np.arange(len(by_mask))
+                found += [by_mask[numbers >> j & 1 == 1].sum() for j in range(bits)]
+            else:
+                found += [int((held >> np.uint64(j) & np.uint64(1)).sum()) for j in range(bits)]
         return np.array(found, float), len(first)
 
     def decide(self, text: str | None) -> tuple[str, float]:
@@ -160,16 +181,19 @@ class LanguageFilters:
         """doc_id, lang_pred and score of every document; reads only id and text."""
         languages, masks = self.languages, self.masks.tobytes()
 
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            filters = LanguageFilters(languages, np.frombuffer(masks, np.uint64))
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            filters = LanguageFilters(languages, mask_words(masks))
             for batch in batches:
-                decided = [filters.decide(text) for text in batch["text"]]
-                out = pd.DataFrame(decided, columns=["lang_pred", "score"])
-                out.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy())
-                yield out.astype({"doc_id": "Int64"})
+                for some in by_bytes(batch):
+                    lang, score = zip(*map(filters.decide, some["text"].to_pylist()), strict=True)
+                    columns = [some["doc_id"], pa.array(lang, pa.string()), pa.array(score, pa.float64())]
+                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "lang_pred", "score"])
+
+        return id_and_text(docs).mapInArrow(run, PREDICTED)
+
 
-        rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        return rows.mapInPandas(run, PREDICTED)
+def mask_words(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, np.uint64).reshape(-1, SLOTS)
 
 
 def fold(doc_id: str = "doc_id", folds: int = 5) -> Column:
@@ -178,11 +202,11 @@ def fold(doc_id: str = "doc_id", folds: int = 5) -> Column:
 
 
 def fit(docs: DataFrame) -> LanguageFilters:
-    """Filters learned from ``text`` and non-null ``lang`` of the given documents (at most 64 languages)."""
+    """Filters learned from ``text`` and non-null ``lang`` of the given documents."""
     rows = docs.filter("lang is not null and text is not null").select(
         F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")
     )
-    per_task = rows.mapInPandas(count_slots, "lang string, block int, counts binary, grams bigint")
+    per_task = rows.mapInArrow(count_slots, "lang string, block int, counts binary, grams bigint")
     per_task = per_task.withColumn("part", F.pmod(F.xxhash64("counts"), F.lit(FAN_IN)))
     summed = add_tables(add_tables(per_task, "lang", "block", "part"), "lang", "block")
 
@@ -197,12 +221,12 @@ def fit(docs: DataFrame) -> LanguageFilters:
     # at most SLOTS / 8 bytes per language
     rows = summed.mapInPandas(usual, "lang string, block int, bits binary").collect()
     languages = sorted({row.lang for row in rows})
-    if len(languages) > 64:
-        raise ValueError(f"{len(languages)} languages; the masks hold 64")
-    masks = np.zeros(SLOTS, np.uint64)
+    masks = np.zeros((-(-len(languages) // WORD), SLOTS), np.uint64)
+    number = {lang: j for j, lang in enumerate(languages)}
     for row in rows:
         bits = np.unpackbits(np.frombuffer(bytes(row.bits), np.uint8), bitorder="little").astype(np.uint64)
-        masks[row.block * BLOCK : (row.block + 1) * BLOCK] |= bits << np.uint64(languages.index(row.lang))
+        j = number[row.lang]
+        masks[j // WORD, row.block * BLOCK : (row.block + 1) * BLOCK] |= bits << np.uint64(j % WORD)
     return LanguageFilters(languages, masks)
 
 
@@ -220,13 +244,14 @@ def identify(docs: DataFrame) -> DataFrame:
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filters = LanguageFilters(languages, np.frombuffer(masks, np.uint64))
+        filters = LanguageFilters(languages, mask_words(masks))
         for batch in batches:
-            texts = batch["text"].to_pylist()
-            decided = [filters.decide(text)[0] for text in texts]
-            kept = pa.array([len(letters_and_gaps(text)) > 0 for text in texts], pa.bool_())
             at = batch.schema.get_field_index("lang")
             field = batch.schema.field(at)
-            yield batch.set_column(at, field, pa.array(decided, field.type)).select(names).filter(kept)
+            for some in by_bytes(batch):
+                texts = some["text"].to_pylist()
+                kept = pa.array([len(letters_and_gaps(text)) > 0 for text in texts], pa.bool_())
+                decided = pa.array([filters.decide(text)[0] for text in texts], field.type)
+                yield some.set_column(at, field, decided).select(names).filter(kept)
 
     return docs.mapInArrow(run, docs.schema)

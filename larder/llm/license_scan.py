@@ -2,16 +2,16 @@
 
 Every text is read as words; of each text only its licence words (those of the templates
 and base phrases) are kept, with their places. A word's rarity is its inverse document
-frequency over the whole table. For each text its ``RARE_WORDS`` rarest licence words look
-up the templates' postings; postings that agree on the relative position of text and
-template are counted, and a template is found if enough of the text's and the template's
-common rare words line up at one relative position and all of its key phrases stand in
-the text word by word. Base phrases are reported wherever their words stand in a row.
+frequency over the whole table. Each template is posted under its ``RARE_WORDS`` rarest words, and every place
+where one of them stands in a text looks up the postings; those that agree on the relative position of text and
+template are counted. A template is found if enough of its own posted words line up at one relative position and all of
+its key phrases stand in the text word by word: how many are needed depends on the template alone, so
+neither other licences in a text nor a long text around one take a label away. Base phrases are reported wherever their words stand in a row.
 
 The postings and frequencies are tables over the fixed vocabulary below, so broadcasting
 them is bounded by this file. Nothing but licence words of candidate texts is shuffled.
 
-Defined results: a null text is empty; texts without licence words have no labels and
+Defined results: texts of any length are read whole; a null text is empty; texts without licence words have no labels and
 score 0; repeated rows each get their row; columns other than ``doc_id`` and ``text`` are
 ignored.
 """
@@ -121,15 +121,14 @@ def places(phrase: str) -> Column:
     )
 
 
-def postings(df: DataFrame) -> DataFrame:
-    """Template words with their places, and how many distinct looked-up words a template has."""
-    rows = [
-        (number, label, at, word, len(set(text.split()) - COMMON))
-        for number, (label, text, _) in enumerate(TEMPLATES)
-        for at, word in enumerate(text.split())
-        if word not in COMMON
-    ]
-    return df.sparkSession.createDataFrame(rows, "template int, label string, template_at bigint, word string, size int")
+def postings(df: DataFrame, frequency: dict[str, int]) -> DataFrame:
+    """Each template's rarest words with their places, and how many of them are looked up."""
+    rows = []
+    for number, (label, text, _) in enumerate(TEMPLATES):
+        words = text.split()
+        rarest = sorted(set(words) - COMMON, key=lambda w: (frequency.get(w, 0), w))[:RARE_WORDS]
+        rows += [(number, label, at, word, len(rarest)) for at, word in enumerate(words) if word in rarest]
+    return df.sparkSession.createDataFrame(rows, "template int, label string, template_at bigint, word string, needed int")
 
 
 def document_frequency(words: DataFrame) -> DataFrame:
@@ -144,24 +143,17 @@ def document_frequency(words: DataFrame) -> DataFrame:
 def aligned(words: DataFrame) -> DataFrame:
     """Templates of each text with the largest share of rare words at one relative position."""
     frequency = {row.word: row.texts for row in document_frequency(words).collect()}  # fixed vocabulary
-    rarest_first = sorted((w for w in frequency if w not in COMMON), key=lambda w: (frequency[w], w))
-    order = ", ".join(f"'{w}'" for w in rarest_first) or "''"
-    rare = F.expr(
-        f"""slice(filter(array({order}), w -> exists(found, f -> f.word = w)), 1, {RARE_WORDS})"""
-    )
+    index = postings(words, frequency)
+    posted = ", ".join(f"'{w}'" for w in VOCABULARY if w not in COMMON)
     keys = ["doc_id", "text_key"]
     occurrences = (
         words.filter(F.size("found") > 1)
-        .withColumn("rare", rare)
-        .select(*keys, "rare", F.explode("found").alias("f"))
-        .filter(F.array_contains("rare", F.col("f.word")))
-        .select(*keys, F.size("rare").alias("n_rare"), F.col("f.at").alias("at"), F.col("f.word").alias("word"))
+        .select(*keys, F.explode(F.expr(f"filter(found, f -> f.word in ({posted}))")).alias("f"))
+        .select(*keys, F.col("f.at").alias("at"), F.col("f.word").alias("word"))
     )
-    index = F.broadcast(postings(words))
-    needed = F.least("size", "n_rare")
     return (
-        occurrences.join(index, "word")
-        .groupBy(*keys, "template", "label", needed.alias("needed"), (F.col("at") - F.col("template_at")).alias("shift"))
+        occurrences.join(F.broadcast(index), "word")
+        .groupBy(*keys, "template", "label", "needed", (F.col("at") - F.col("template_at")).alias("shift"))
         .agg(F.countDistinct("template_at").alias("in_line"))
         .withColumn("share", F.least(F.lit(1.0), F.col("in_line") / F.col("needed")))
         .filter((F.col("in_line") >= F.least(F.lit(2), F.col("needed"))) & (F.col("share") >= MIN_ALIGNED))

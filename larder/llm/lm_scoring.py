@@ -23,11 +23,10 @@ from every word is the unseen word, with probability 1; other columns are ignore
 
 from __future__ import annotations
 
-import math
 import zlib
-from array import array
 from collections import Counter
 from collections.abc import Iterator
+from copy import copy
 
 import numpy as np
 import pandas as pd
@@ -37,6 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from larder.llm.jaccard_join import BASE, BYTE_VALUES, INVERSE, mixed, powers
 from larder.llm.shared import by_bytes, settled, word_lists
 
 CLASSES, WIDTH, REST = 16, 32, 16
@@ -44,11 +44,12 @@ ROWS = 1 << 14
 ROUNDS, SMOOTHING = 4, 2.0
 KNOWN = 1 << 17
 FOLDS, HELD_OUT = 7, 2
-#: Words that a task counts or describes before it starts anew, and words scored together.
-REMEMBERED, TOGETHER = 1 << 18, 1 << 14
+#: Words that a task counts before it starts anew, and bytes of text that are looked at together.
+REMEMBERED, TOGETHER = 1 << 18, 1 << 17
 #: Longer words are known by their digest; no word holds a space, so these keys and the end are no words.
 LONGEST = 64
-END, START = b" ", b" start"
+END = b" "
+END_HASH, START_HASH = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 IMPOSSIBLE = -80.0
 FEATURES = 4
 
@@ -63,11 +64,15 @@ def fold(doc_id: str = "doc_id", folds: int = FOLDS) -> Column:
     return F.crc32(F.col(doc_id).cast("bigint").cast("string").cast("binary")) % folds
 
 
+def key(word: bytes) -> bytes:
+    return word if len(word) <= LONGEST else b" " + xxhash.xxh3_128_digest(word)
+
+
 def word_parts(raw: bytes | None) -> Iterator[list[bytes]]:
     """The keys of a text's words in parts of bounded size."""
     for words in word_lists((raw or b"").translate(LOWER)):
         if max(map(len, words), default=0) > LONGEST:
-            words = [w if len(w) <= LONGEST else b" " + xxhash.xxh3_128_digest(w) for w in words]
+            words = list(map(key, words))
         yield words
 
 
@@ -103,11 +108,50 @@ def unigrams(docs: DataFrame) -> DataFrame:
     return settled(rows.groupBy("word").agg(F.sum("count").alias("count")), "unigrams")
 
 
+def words_of(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where the words of a lower-cased text start and end, and their 64-bit hashes: polynomials of their bytes."""
+    data = np.frombuffer(raw, np.uint8)
+    edges = np.flatnonzero(np.diff(np.concatenate(([False], data != 32, [False]))))
+    starts, ends = edges[::2], edges[1::2]
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(BYTE_VALUES[data] * powers(BASE, len(data)))))
+    return starts, ends, mixed((sums[ends] - sums[starts]) * powers(INVERSE, len(data) + 1)[starts])
+
+
 def rest_class(word: bytes, rest: int) -> int:
     """Class of a word outside the frequent ones: by its last two bytes."""
     return zlib.crc32(word[-2:]) % rest
 
 
+def short(word: bytes) -> bool:
+    """Whether the key is the word itself (or the end), and no digest."""
+    return len(word) < 2 or word[:1] != b" "
+
+
+def leaves_of(top: list[tuple[bytes, int]], n: int) -> list[tuple[bytes, int]]:
+    """The ``n`` most frequent words that have a place of their own."""
+    return [(word, count) for word, count in top if short(word)][:n]
+
+
+class Table:
+    """Numbers of words, found by their hashes."""
+
+    def __init__(self, numbers: dict[bytes, int]):
+        words = [w for w in numbers if w != END]
+        hashes = words_of(b" ".join(words))[2] if words else np.zeros(0, np.uint64)
+        values = [numbers[w] for w in words]
+        if END in numbers:
+            hashes, values = np.append(hashes, END_HASH), [*values, numbers[END]]
+        order = np.argsort(hashes, kind="stable")
+        self.hashes, self.values = hashes[order], np.array(values, np.int64)[order]
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The words' numbers, -1 for those that the table does not have."""
+        if not len(self.hashes):
+            return np.full(len(hashes), -1, np.int64)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == hashes, self.values[at], -1)
+
+
 class Model:
     """Unigram distribution, classes and weights: of a size that its parameters fix."""
 
@@ -115,10 +159,11 @@ class Model:
         """``top``: the most frequent words with their counts, best first; ``rest_mass``: of the rest classes, counts plus one each."""
         self.total, self.classes, self.width, self.rest, self.rows = total, classes, width, len(rest_mass), rows
         self.norm = total + distinct + 1
-        self.counts = dict(top)
-        self.leaf = {word: at for at, (word, _) in enumerate(top[: classes * width])}
+        self.counts = Table({word: n for word, n in top if short(word)})
+        frequent = leaves_of(top, classes * width)
+        self.leaf = Table({word: at for at, (word, _) in enumerate(frequent)})
         leaves = np.zeros(classes * width)
-        leaves[: len(self.leaf)] = [n + 1 for _, n in top[: classes * width]]
+        leaves[: len(frequent)] = [n + 1 for _, n in frequent]
         leaves = leaves.reshape(classes, width)
         rest_mass = rest_mass.astype(float)
         rest_mass[0] += 1  # the unseen word
@@ -127,94 +172,88 @@ class Model:
             self.class_start = np.maximum(mass, IMPOSSIBLE).astype(np.float32)
             inside = np.log(leaves / np.maximum(leaves.sum(axis=1, keepdims=True), 1))
         self.word_start = np.maximum(inside, IMPOSSIBLE).astype(np.float32)
+        self.by_ending = np.array(
+            [rest_class(bytes([n >> 8, n & 255] if n >> 8 < 256 else [n & 255]), self.rest) for n in range(257 << 8)]
+        )
         self.log_rest = np.log10(np.maximum(rest_mass, 1e-300) / self.norm)
         self.class_weights = np.zeros((rows, classes + self.rest), np.float32)
         self.word_weights = np.zeros((rows, width), np.float32)
 
-    def log_base(self, count: int) -> float:
-        return math.log10((count + 1) / self.norm)
-
     def moved(self, observed: list[np.ndarray], expected: list[np.ndarray], smoothing: float) -> None:
         """One update of all weights."""
         for weights, seen, meant in zip((self.class_weights, self.word_weights), observed, expected, strict=True):
             weights += (np.log((seen + smoothing) / (meant + smoothing)) / FEATURES).astype(np.float32)
 
 
-class Described(dict):
-    """Numbers of words and what a model says of them; filled as words come, emptied when it is full."""
-
-    def __init__(self, model: Model):
-        self.model = model
-        self.words: list[bytes] = []
-        self._start()
-
-    def _start(self) -> None:
-        self.hashes, self.leaves, self.groups, self.bases = array("Q"), array("i"), array("i"), array("d")
-
-    def __missing__(self, word: bytes) -> int:
-        model, number = self.model, len(self.words)
-        self[word] = number
-        self.words.append(word)
-        self.hashes.append(xxhash.xxh3_64_intdigest(word))
-        leaf = model.leaf.get(word, -1)
-        self.leaves.append(leaf)
-        self.groups.append(leaf // model.width if leaf >= 0 else model.classes + rest_class(word, model.rest))
-        count = model.counts.get(word)
-        self.bases.append(model.log_base(count) if count is not None else math.nan)
-        return number
-
-    def room(self) -> None:
-        if len(self.words) >= REMEMBERED:
-            self.clear()
-            self.words.clear()
-            self._start()
-
-
 def softmax(logits: np.ndarray) -> np.ndarray:
-    logits -= logits.max(axis=1, keepdims=True)
+    # weights of a few updates keep logits far below the 88 at which a 32-bit exponential ends
+    np.minimum(logits, -IMPOSSIBLE, out=logits)
     np.exp(logits, out=logits)
     logits /= logits.sum(axis=1, keepdims=True)
     return logits
 
 
-def mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-    return h ^ (h >> np.uint64(29))
-
-
 class Batch:
-    """Words in a row, with the features of their histories."""
+    """The words of some texts in a row, with the features of their histories."""
 
-    def __init__(self, model: Model, known: Described, pieces: list[tuple[list[bytes], list[bytes]]]):
-        """``pieces``: the three words before a piece, and its words."""
+    def __init__(self, model: Model, pieces: list[tuple[bytes, bool]], history: np.ndarray | None = None):
+        """``pieces``: lower-cased texts or parts of them, and whether they end; ``history``: hashes of the three words
+        before the first piece, if it goes on with a text."""
         self.model = model
-        numbers = np.fromiter(map(known.__getitem__, (w for before, words in pieces for w in (*before, *words))), np.int64)
-        self.sizes = np.array([len(words) for _, words in pieces])
-        real = np.ones(len(numbers), bool)
-        starts = np.cumsum(self.sizes + 3) - self.sizes - 3
-        for k in range(3):
-            real[starts + k] = False
-        at = np.flatnonzero(real)
-        self.numbers = numbers[at]
-        hashes = np.frombuffer(known.hashes, np.uint64)[numbers]
-        one, two, three = hashes[at - 1], hashes[at - 2], hashes[at - 3]
+        self.raw = b" ".join(raw for raw, _ in pieces)
+        starts, ends, hashes = words_of(self.raw)
+        last = np.array([closed for _, closed in pieces])
+        edges = np.cumsum([len(raw) + 1 for raw, _ in pieces])
+        owner = np.searchsorted(edges, starts, side="right")
+        words = np.bincount(owner, minlength=len(pieces))
+        first = np.cumsum(words) - words
+        # every piece: three places for its history, its words, the end
+        begin = np.cumsum(3 + words + last) - (3 + words + last)
+        place = begin[owner] + 3 + np.arange(len(starts)) - first[owner]
+        line = np.full(int((3 + words + last).sum()), START_HASH)
+        line[place] = hashes
+        closing = (begin + 3 + words)[last]
+        line[closing] = END_HASH
+        if history is not None:
+            line[:3] = history
+        self.history = line[-3:]
+        at = np.concatenate((place, closing))
+        self.sizes = words + last
+        self.owner = np.concatenate((owner, np.flatnonzero(last)))
+        self.starts, self.ends = starts, ends
+        self.hashes = line[at]
+        one, two, three = line[at - 1], line[at - 2], line[at - 3]
         self.features = [
             mixed(one),
             mixed(one * np.uint64(0xBF58476D1CE4E5B9) + two),
             mixed(two + np.uint64(0x94D049BB133111EB)),
             mixed(three + np.uint64(0xD6E8FEB86659FD93)),
         ]
-        self.groups = np.frombuffer(known.groups, np.int32)[self.numbers]
-        leaves = np.frombuffer(known.leaves, np.int32)[self.numbers]
+        leaves = model.leaf.find(self.hashes)
+        self.groups = np.where(leaves >= 0, leaves // model.width, model.classes + self.endings())
         self.inner = np.flatnonzero(leaves >= 0)
         self.places = leaves[self.inner] % model.width
         mask = np.uint64(model.rows - 1)
-        self.class_rows = [(f & mask).astype(np.uint16 if model.rows <= 1 << 16 else np.int64) for f in self.features]
+        self.class_rows = [(f & mask).astype(np.int64) for f in self.features]
         salt = self.groups[self.inner].astype(np.uint64) * np.uint64(0xA24BAED4963EE407)
-        self.word_rows = [(mixed(f[self.inner] + salt) & mask).astype(self.class_rows[0].dtype) for f in self.features]
+        self.word_rows = [(mixed(f[self.inner] + salt) & mask).astype(np.int64) for f in self.features]
+
+    def endings(self) -> np.ndarray:
+        """Rest classes of all tokens."""
+        data = np.frombuffer(self.raw, np.uint8).astype(np.int64)
+        size = self.ends - self.starts
+        before = np.where(size > 1, data[np.maximum(self.ends - 2, 0)] if len(data) else 0, 256)
+        found = self.model.by_ending[before << 8 | data[self.ends - 1]]
+        for at in np.flatnonzero(size > LONGEST):
+            found[at] = rest_class(self.word(at), self.model.rest)
+        return np.concatenate((found, np.full(len(self.hashes) - len(found), rest_class(END, self.model.rest))))
+
+    def word(self, token: int) -> bytes:
+        """The key of a token."""
+        return key(self.raw[self.starts[token] : self.ends[token]]) if token < len(self.starts) else END
 
     def class_shares(self) -> np.ndarray:
-        logits = np.repeat(self.model.class_start[None], len(self.numbers), axis=0)
+        logits = np.repeat(self.model.class_start[None], len(self.groups), axis=0)
         for rows in self.class_rows:
             logits += self.model.class_weights[rows]
         return softmax(logits)
@@ -228,42 +267,37 @@ class Batch:
 
 def add_rows(sums: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
     """``sums[rows] += values`` with equal rows added up."""
-    order = np.argsort(rows, kind="stable")
-    rows = rows[order]
-    starts = np.flatnonzero(np.concatenate(([True], rows[1:] != rows[:-1])))
-    if len(rows):
-        sums[rows[starts]] += np.add.reduceat(values[order], starts, axis=0)
+    width = sums.shape[1]
+    at = rows.astype(np.int64)[:, None] * width + np.arange(width)
+    np.add.at(sums.reshape(-1), at.reshape(-1), values.reshape(-1))  # the flat form is the fast one
+
 
+def add_places(sums: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> None:
+    """One more at each of the places."""
+    np.add.at(sums.reshape(-1), rows.astype(np.int64) * sums.shape[1] + columns, np.float32(1))
 
-def pieces_of(docs: Iterator[tuple[int, bytes | None]]) -> Iterator[tuple[int, list[bytes], list[bytes], bool]]:
-    """(document, the three words before, words, last) of each document in parts."""
+
+def batches_of(model: Model, docs: Iterator[tuple[int, bytes | None]], together: int = TOGETHER) -> Iterator[tuple[list[int], Batch]]:
+    """Batches of about ``together`` bytes of text, each with the documents of its pieces; a longer text goes on in the next."""
+    held, numbers, size, history = [], [], 0, None
     for number, raw in docs:
-        before = [START] * 3
-        for words in word_parts(raw):
-            for at in range(0, len(words), TOGETHER):
-                part = words[at : at + TOGETHER]
-                yield number, before, part, False
-                before = (before + part)[-3:]
-        yield number, before, [END], True
-
-
-def grouped(pieces: Iterator[tuple]) -> Iterator[list[tuple]]:
-    """Pieces in lists of about ``TOGETHER`` words; the end joins the piece before it."""
-    held, size = [], 0
-    for number, before, words, last in pieces:
-        if last and held and held[-1][0] == number:
-            held[-1] = (number, held[-1][1], [*held[-1][2], *words])
-        else:
-            held.append((number, before, words))
-        size += len(words)
-        if size >= TOGETHER and last:
-            yield held
-            held, size = [], 0
-        elif size >= 2 * TOGETHER:
-            yield held
-            held, size = [], 0
+        raw = (raw or b"").translate(LOWER)
+        at = 0
+        while True:
+            end = raw.find(b" ", at + together) if len(raw) - at > together else -1
+            closed = end < 0
+            held.append((raw[at:] if closed else raw[at:end], closed))
+            numbers.append(number)
+            size += len(held[-1][0])
+            if not closed or size >= together:
+                batch = Batch(model, held, history)
+                yield numbers, batch
+                held, numbers, size, history = [], [], 0, None if closed else batch.history
+            if closed:
+                break
+            at = end
     if held:
-        yield held
+        yield numbers, Batch(model, held, history)
 
 
 BLOCK_ROWS = 1024
@@ -271,23 +305,22 @@ BLOCK_ROWS = 1024
 
 def feature_sums(docs: DataFrame, model: Model) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """Observed and expected features of the given documents under the model."""
+    model = copy(model)
+    model.counts = Table({})  # training needs none
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Described(model)
         tables = [np.zeros(w.shape, np.float32) for w in (model.class_weights, model.word_weights) for _ in range(2)]
         texts = ((0, raw) for batch in batches for some in by_bytes(batch, limit=1 << 20) for raw in some["text"].to_pylist())
         any_text = False
-        for held in grouped(pieces_of(texts)):
+        for _, batch in batches_of(model, texts):
             any_text = True
-            batch = Batch(model, known, [(before, words) for _, before, words in held])
             shares, inner = batch.class_shares(), batch.word_shares()
             for rows in batch.class_rows:
-                np.add.at(tables[0], (rows, batch.groups), np.float32(1))
+                add_places(tables[0], rows, batch.groups)
                 add_rows(tables[1], rows, shares)
             for rows in batch.word_rows:
-                np.add.at(tables[2], (rows, batch.places), np.float32(1))
+                add_places(tables[2], rows, batch.places)
                 add_rows(tables[3], rows, inner)
-            known.room()
         if any_text:
             for part in range(2):
                 seen, meant = tables[2 * part : 2 * part + 2]
@@ -341,7 +374,7 @@ def fit(
     mass = np.zeros(rest, np.int64)
     for row in counts.groupBy(spelled.alias("spelled")).agg(F.sum(F.col("count") + 1).alias("mass")).collect():  # a row per class
         mass[row.spelled] = row.mass
-    for word, count in top[: classes * width]:
+    for word, count in leaves_of(top, classes * width):
         mass[rest_class(word, rest)] -= count + 1
     model = Model(top, total, distinct, mass, classes, width, rows)
     share = F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds))
@@ -355,7 +388,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     names = ["row", "doc_id", "n_tokens", "n_known", "base", "score", "word", "times", "known_score", "unknown_score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, classes = Described(model), model.classes
+        classes = model.classes
         first = TaskContext.get().partitionId() << 40
         sums: dict[int, list] = {}
         ids: dict[int, int | None] = {}
@@ -378,43 +411,44 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
             columns += [pa.nulls(len(done), t) for t in (pa.binary(), pa.int64(), pa.float64(), pa.float64())]
             return pa.RecordBatch.from_arrays(columns, names)
 
-        for held in grouped(pieces_of(rows_of())):
-            batch = Batch(model, known, [(before, words) for _, before, words in held])
+        for numbers, batch in batches_of(model, rows_of()):
             shares, inner = batch.class_shares(), batch.word_shares()
             tiny = np.float32(1e-37)
             own = np.log10(np.maximum(shares[np.arange(len(batch.groups)), batch.groups], tiny)).astype(float)
             unseen = np.log10(np.maximum(shares[:, classes], tiny)).astype(float)
             own[batch.inner] += np.log10(np.maximum(inner[np.arange(len(batch.places)), batch.places], tiny))
-            base = np.frombuffer(known.bases, float)[batch.numbers]
-            found = ~np.isnan(base)
+            counts = model.counts.find(batch.hashes)
+            found = counts >= 0
+            base = np.where(found, np.log10((np.maximum(counts, 0) + 1) / model.norm), 0)
             # a known word of a rest class: its unigram share of the class
             outer = found & (batch.groups >= classes)
             own[outer] += base[outer] - model.log_rest[batch.groups[outer] - classes]
-            whose = np.repeat(np.arange(len(held)), batch.sizes)
-            n_known = np.bincount(whose, found, len(held)).astype(int)
-            base_sum = np.bincount(whose, np.where(found, base, 0), len(held))
-            score_sum = np.bincount(whose, np.where(found, own, 0), len(held))
-            for at, (number, _, words) in enumerate(held):
+            n_known, base_sum, score_sum = (
+                np.bincount(batch.owner, values, len(numbers)) for values in (found, base, np.where(found, own, 0))
+            )
+            for at, number in enumerate(numbers):
                 total = sums[number]
-                total[0] += len(words)
+                total[0] += int(batch.sizes[at])
                 total[1] += int(n_known[at])
                 total[2] += float(base_sum[at])
                 total[3] += float(score_sum[at])
             rare = np.flatnonzero(~found)
             if len(rare):
-                pairs, place = np.unique(whose[rare] << 32 | batch.numbers[rare], return_inverse=True)
-                times = np.bincount(place)
+                # equal words of a document together, by hash
+                order = rare[np.lexsort((batch.hashes[rare], batch.owner[rare]))]
+                opens = np.ones(len(order), bool)
+                opens[1:] = (batch.hashes[order[1:]] != batch.hashes[order[:-1]]) | (batch.owner[order[1:]] != batch.owner[order[:-1]])
+                heads, place = order[opens], np.cumsum(opens) - 1
                 columns = [
-                    pa.array(np.array([held[d][0] for d in pairs >> 32], np.int64)),
-                    *[pa.nulls(len(pairs), t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())],
-                    pa.array([known.words[w] for w in pairs & 0xFFFFFFFF], pa.binary()),
-                    pa.array(times.astype(np.int64)),
-                    pa.array(np.bincount(place, own[rare])),
-                    pa.array(np.bincount(place, unseen[rare])),
+                    pa.array(np.array(numbers, np.int64)[batch.owner[heads]]),
+                    *[pa.nulls(len(heads), t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())],
+                    pa.array([batch.word(at) for at in heads.tolist()], pa.binary()),
+                    pa.array(np.bincount(place)),
+                    pa.array(np.bincount(place, own[order])),
+                    pa.array(np.bincount(place, unseen[order])),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names)
-            known.room()
-            yield finished(held[-1][0])
+            yield finished(numbers[-1])
         yield finished(None)
 
     return settled(id_and_bytes(docs).mapInArrow(run, SCORED), "lm-scores")

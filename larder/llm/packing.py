@@ -10,6 +10,8 @@ Within a group a sequence is filled greedily with the longest piece that fits,
 again and again. Its smallest piece is then taken out if two pieces that are
 still waiting fill the widened gap further; the one taken out waits again.
 
+Of pieces of equal length those with the smaller ``doc_id`` and ``piece`` wait in front.
+
 Defined results: a null or empty text is a document of the closing id alone; an
 empty table gives no rows; repeated rows are packed once each; columns other than
 ``doc_id`` and ``text`` are ignored.
@@ -17,34 +19,50 @@ empty table gives no rows; repeated rows are packed once each; columns other tha
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from larder.llm.shared import by_bytes, id_and_text, release
+
 CAPACITY = 4096
 CLOSING_ID = 1
 GROUP_ROWS = 8192
-#: Words whose ids a Python worker keeps; the table is emptied when it is full.
-CACHED_WORDS = 600_000
+#: Bytes that a task's two tables of ids may take (words and their lower-case letters); a full table is emptied.
+CACHED_BYTES = 48 << 20
+#: What an entry takes besides its characters and ids, about.
+ENTRY_BYTES = 200
+#: Words encoded in one call.
+TOGETHER = 4096
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 PIECES_AND_IDS = PIECES + ", ids binary"
 PACKED = PIECES + ", sequence_id bigint, offset bigint"
 
 
-@lru_cache(maxsize=2)
-def word_ids(path: str) -> WordIds:
-    return WordIds(path)
+def tokenizer(path: str):
+    """The tokenizer (of the size of its file), and which ids end a word."""
+    from tokenizers import Tokenizer
+
+    found = Tokenizer.from_file(path)
+    vocabulary = found.get_vocab()
+    suffix = getattr(found.model, "end_of_word_suffix", None)
+    ends = np.zeros(max(vocabulary.values()) + 1, bool)
+    for token, number in vocabulary.items():
+        ends[number] = bool(suffix) and token.endswith(suffix)
+    return found, ends
 
 
 #: Letters and plain punctuation that the tokenizer cuts, lower-cases and merges apart, whatever stands beside them.
 LETTERS_THEN_MARKS = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([.,!?;:|#$%&*]*)")
+LOWER_LETTERS = re.compile(r"[a-z\u00DF-\u00F6\u00F8-\u00FF]+")
 
 
 class WordIds:
@@ -57,34 +75,53 @@ class WordIds:
     sees each run of letters once, in lower case.
     """
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
+    def __init__(self, path: str, limit: int = CACHED_BYTES):
+        self.tokenizer, self.ends = tokenizer(path)
+        self.limit = limit
         self.words: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {"": b""}
+        self.words_bytes = self.parts_bytes = 0
+
+    def letters(self, parts: list[str]) -> list[bytes]:
+        """Ids of runs of lower-case letters: each is one word to the tokenizer, so one call takes many."""
+        out: list[bytes] = []
+        for at in range(0, len(parts), TOGETHER):
+            some = parts[at : at + TOGETHER]
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            edges = np.flatnonzero(self.ends[ids]) + 1
+            if len(edges) == len(some) and edges[-1] == len(ids):
+                raw, cut = ids.tobytes(), [0, *(4 * edges).tolist()]
+                out += [raw[lo:hi] for lo, hi in zip(cut[:-1], cut[1:], strict=True)]
+            else:
+                out += self.others(some)
+        return out
+
+    def others(self, parts: list[str]) -> list[bytes]:
+        encoded = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False) if parts else []
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in encoded]
 
     def learn(self, words: set[str]) -> None:
         """Put ids of all ``words`` into the table."""
-        if len(self.words) + len(words) > CACHED_WORDS:
-            self.words = {}
+        if self.words_bytes > self.limit:
+            self.words, self.words_bytes = {}, 0
+        if self.parts_bytes > self.limit:
+            self.parts, self.parts_bytes = {"": b""}, 0
         cut = {w: (m[1].lower(), m[2]) if (m := LETTERS_THEN_MARKS.fullmatch(w)) else (w, "") for w in words}
-        if len(self.parts) > CACHED_WORDS:
-            self.parts = {"": b""}
-        missing = list({x for pair in cut.values() for x in pair}.difference(self.parts))
-        encoded = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False) if missing else []
-        self.parts.update((x, np.array(e.ids, dtype="<u4").tobytes()) for x, e in zip(missing, encoded, strict=True))
+        letters = list({a for a, _ in cut.values() if LOWER_LETTERS.fullmatch(a)}.difference(self.parts))
+        others = list({x for pair in cut.values() for x in pair if not LOWER_LETTERS.fullmatch(x)}.difference(self.parts))
+        for names, ids in ((letters, self.letters(letters)), (others, self.others(others))):
+            self.parts.update(zip(names, ids, strict=True))
+            self.parts_bytes += sum(map(len, names)) + sum(map(len, ids)) + ENTRY_BYTES * len(names)
         self.words.update((w, self.parts[a] + self.parts[b]) for w, (a, b) in cut.items())
+        self.words_bytes += sum(len(w) + len(self.words[w]) + ENTRY_BYTES for w in words)
 
     def __call__(self, text: str) -> bytes:
         words = text.replace("\n", " ").split(" ")
         ids = list(map(self.words.get, words))
         if None in ids:
-            # learning may empty the table, so all words of the text are asked for, not the missing ones alone
+            # learning may empty the table, so then all words of the text are asked for, not the missing ones alone
             missing = {w for w, known in zip(words, ids, strict=True) if known is None}
-            if len(self.words) + len(missing) > CACHED_WORDS:
-                missing = set(words)
-            self.learn(missing)
+            self.learn(set(words) if self.words_bytes > self.limit else missing)
             ids = map(self.words.__getitem__, words)
         return b"".join(ids)
 
@@ -98,26 +135,28 @@ def token_pieces(
 ) -> DataFrame:
     """Pieces of each document's ids, the closing id included; ``ids`` holds little-endian 32-bit ids if asked for."""
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import os
+    names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
+    types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
 
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encode = word_ids(tokenizer_path)
+        encode = WordIds(tokenizer_path)  # its tables end with the task
         closing = np.array([closing_id], dtype="<u4").tobytes()
         width = 4 * capacity
         for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                ids = (encode(text) if text else b"") + closing
-                for piece, at in enumerate(range(0, len(ids), width)):
-                    part = ids[at : at + width]
-                    rows.append((doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part), part if with_ids else None))
-            out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32", "ids"])
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            yield out if with_ids else out.drop(columns="ids")
-
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInPandas(cut, PIECES_AND_IDS if with_ids else PIECES)
+            for some in by_bytes(batch):
+                rows = []
+                for doc_id, text in zip(some["doc_id"].to_pylist(), some["text"].to_pylist(), strict=True):
+                    ids = (encode(text) if text else b"") + closing
+                    for piece, at in enumerate(range(0, len(ids), width)):
+                        part = ids[at : at + width]
+                        rows.append((doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part), part if with_ids else None))
+                columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns[: 6 if with_ids else 5], names[: 6 if with_ids else 5])
+        del encode
+        release()
+
+    return id_and_text(docs).mapInArrow(cut, PIECES_AND_IDS if with_ids else PIECES)
 
 
 def best_two_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:

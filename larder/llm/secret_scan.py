@@ -9,6 +9,11 @@ syntax are lexed into (name, literal) pairs: ``name = "x"``, ``name := 'x'``,
 literal looks like a credential; literals that score at least ``min_score`` become
 spans of kind ``lexed`` at the place where the literal stands.
 
+Spans of different kinds may overlap, all are reported; of equal starts the kinds go in the order
+base, then lexed. A literal that stands at one place under several names is one span, of the first name. Literals of any
+length are found; only what constants build by joining is bounded (``MAX_BUILT``), beyond that the expression is
+unknown and the parts' own assignments remain.
+
 Defined results: null and empty texts have no spans; repeated rows are scanned
 once each; columns other than ``doc_id`` and ``text`` are ignored. Offsets count
 code points, ends are exclusive.
@@ -20,13 +25,14 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import cached_property
 from typing import NamedTuple
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.shared import id_and_text, with_text
+from larder.llm.shared import by_bytes, id_and_text, with_text
 
 KINDS = ("assign", "access", "hex", "lexed")
 MIN_SCORE = 0.5
@@ -72,9 +78,9 @@ JOINED = re.compile(r"[ \t]*\+[ \t]*")
 WORDS_OF_NAME = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 
 
-#: Joined literals beyond this many characters or parts are not followed: no credential is that long, and
-#: repeated doubling (``a = a + a``) must not grow without end.
-MAX_LITERAL, MAX_PARTS = 4096, 64
+#: What constants build together (characters, parts) is followed up to here: doubling (``a = a + a``) must not grow
+#: without end. A literal that stands in the text, alone or joined of parts that stand there, has no bound.
+MAX_BUILT, MAX_PARTS = 1 << 16, 1 << 10
 
 
 class Span(NamedTuple):
@@ -87,10 +93,15 @@ class Span(NamedTuple):
     score: float
 
 
-class Literal(NamedTuple):
-    text: str
-    places: tuple[tuple[int, int], ...]
-    quoted: bool
+class Literal:
+    """A value and the places of its parts; how much it looks like a credential is worked out once."""
+
+    def __init__(self, text: str, places: tuple[tuple[int, int], ...], quoted: bool):
+        self.text, self.places, self.quoted = text, places, quoted
+
+    @cached_property
+    def score(self) -> float:
+        return literal_score(self.text)
 
 
 def name_score(name: str) -> float:
@@ -112,32 +123,33 @@ def literal_score(text: str) -> float:
 
 def value_at(text: str, at: int, constants: dict[str, Literal]) -> tuple[Literal | None, int]:
     """The literal that the expression at ``at`` stands for (None if unknown), and where the expression ends."""
-    found, places, quoted, known = "", [], False, True
+    parts: list[Literal] = []
+    known, borrowed = True, False
     while True:
         if m := STRING.match(text, at):
             group = 1 if m[1] is not None else 2
-            found += m[group]
-            places.append(m.span(group))
-            quoted = True
+            parts.append(Literal(m[group], (m.span(group),), True))
         elif m := BARE.match(text, at):
-            word = m[0]
-            if word in constants:
-                found += constants[word].text
-                places.extend(constants[word].places)
-                quoted = quoted or constants[word].quoted
+            if m[0] in constants:
+                parts.append(constants[m[0]])
+                borrowed = True
             else:
-                found += word
-                places.append(m.span())
+                parts.append(Literal(m[0], (m.span(),), False))
                 known = known and text[m.end() : m.end() + 1] not in ("(", "[")
         else:
-            return (Literal(found, tuple(places), quoted) if places and known else None), at
+            break
         at = m.end()
-        known = known and len(found) <= MAX_LITERAL and len(places) <= MAX_PARTS
-        if not known:
-            found, places = "", []
         if not (m := JOINED.match(text, at)):
-            return (Literal(found, tuple(places), quoted) if known else None), at
+            break
         at = m.end()
+    if not parts or not known:
+        return None, at
+    if len(parts) == 1:  # a name alone stands for its literal, however long
+        return parts[0], at
+    if borrowed and (sum(len(p.text) for p in parts) > MAX_BUILT or sum(len(p.places) for p in parts) > MAX_PARTS):
+        return None, at
+    places = tuple(place for part in parts for place in part.places)
+    return Literal("".join(p.text for p in parts), places, any(p.quoted for p in parts)), at
 
 
 def lexed(text: str, min_score: float = MIN_SCORE) -> list[Span]:
@@ -153,7 +165,7 @@ def lexed(text: str, min_score: float = MIN_SCORE) -> list[Span]:
             continue
         constants[name] = literal
         score = name_score(name)
-        score *= literal_score(literal.text) if score else 0.0
+        score *= literal.score if score else 0.0
         if score >= min_score:
             for start, stop in literal.places:
                 if stop > start:
@@ -186,12 +198,20 @@ def scan(text: str | None, min_score: float = MIN_SCORE) -> list[Span]:
 def find_secrets(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """One row per document with all its spans."""
 
-    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    spans_type = pa.list_(
+        pa.struct(
+            [("kind", pa.string()), *((c, pa.int32()) for c in ("start", "end", "value_start", "value_end"))]
+            + [("name", pa.string()), ("score", pa.float64())]
+        )
+    )
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            spans = [[s._asdict() for s in scan(text, min_score)] for text in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "spans": spans})
+            for some in by_bytes(batch):
+                spans = [[s._asdict() for s in scan(text, min_score)] for text in some["text"].to_pylist()]
+                yield pa.RecordBatch.from_arrays([some["doc_id"], pa.array(spans, spans_type)], ["doc_id", "spans"])
 
-    return id_and_text(docs).mapInPandas(find, SPANS)
+    return id_and_text(docs).mapInArrow(find, SPANS)
 
 
 def mask(text: str | None, mark: str = "[secret]", min_score: float = MIN_SCORE) -> str | None:

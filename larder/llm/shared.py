@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import gc
 import os
 import shutil
 import tempfile
@@ -33,6 +34,12 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def release() -> None:
+    """Give back what a task's columns and tables took; for the end of tasks that hold much."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
 def settled(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: lineage ends there, a lost executor costs no recomputation."""
     spark = df.sparkSession
@@ -73,10 +80,18 @@ def id_and_text(docs: DataFrame) -> DataFrame:
 
 
 _shipped: set[str] = set()
+#: Rows that Spark hands to Python at a time: whole texts are wide rows.
+TEXTS_AT_ONCE = 1000
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Let the executors' Python import this package, once per application, through Spark's own file distribution."""
+    """Let the executors' Python import this package, once per application, through Spark's own file distribution.
+
+    Also sees to it that batches of whole texts stay small in the session, on both sides of the pipe to Python.
+    """
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= TEXTS_AT_ONCE:
+        spark.conf.set(rows, str(TEXTS_AT_ONCE))
     application = spark.sparkContext.applicationId
     package = Path(__file__).resolve().parents[1]
     if application not in _shipped and package.is_dir():
@@ -105,7 +120,8 @@ def with_text(docs: DataFrame, change: Callable[[str | None], str | None]) -> Da
         for batch in batches:
             at = batch.schema.get_field_index("text")
             field = batch.schema.field(at)
-            yield batch.set_column(at, field, pa.array(map(change, batch["text"].to_pylist()), field.type))
+            for some in by_bytes(batch):
+                yield some.set_column(at, field, pa.array(map(change, some["text"].to_pylist()), field.type))
 
     return counted(docs.mapInArrow(run, docs.schema))
 

@@ -1,13 +1,14 @@
 """Substring dedup by content-defined chunks.
 
-A gear rolling hash runs over every text; a chunk ends where the hash is the largest
-within ``REACH`` characters on both sides. Such cuts depend on the nearest characters
-alone, so an insertion moves no cut beyond its own neighbourhood. Chunks are compared by
+A gear rolling hash runs over every text; a chunk ends where no hash within ``REACH`` characters on both sides
+is larger. Such cuts depend on the nearest characters
+alone, so an insertion moves no cut beyond its own neighbourhood. Text with a period has equal largest hashes and
+is cut at each of them, once a period; equal chunks in a row are one row after the first. Chunks are compared by
 a 64-bit digest of their characters. The first place of a digest (smallest document, then
 smallest start) keeps its text, all other places are repeats. Repeats that follow each
-other without a gap are a run; runs of at least ``MIN_WORDS`` words are reported. A
-passage loses up to about 65 characters at either end, where its chunks reach beyond it,
-so this bound finds passages of over 50 words; a run has several chunks, so that one
+other without a gap are a run; runs of at least ``MIN_WORDS`` words, or of ``MIN_CHARS`` characters in scripts
+without spaces, are reported. A passage mostly loses up to about 65 characters at either end (more in a few of a hundred),
+where its chunks reach beyond it, so this bound finds passages of over 50 words; a run has several chunks, so that one
 chance collision of digests removes nothing.
 
 Both the grouping by digest and the join back to the places move small rows, never texts.
@@ -29,11 +30,13 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.llm.shared import counted, id_and_text, settled
+from larder.llm.shared import by_bytes, counted, id_and_text, settled
 
 REACH = 16
 LONGEST = 1024
 MIN_WORDS = 20
+#: A run of so many characters is reported whatever its words; ordinary prose reaches ``MIN_WORDS`` before.
+MIN_CHARS = 400
 ROWS_AT_ONCE = 100_000
 CHUNKS = "digest bigint, doc_id bigint, start int, end int, word int, end_word int, again boolean"
 #: Gear values: one 32-bit number per class of characters.
@@ -55,7 +58,7 @@ def cuts(codes: np.ndarray) -> np.ndarray:
     for width in (1, 2, 4, 8):  # around[i] is the largest of the REACH values from i on
         np.maximum(around[:-width], around[width:], out=around[:-width])
     before, after = around[: len(gear)], around[REACH + 1 : REACH + 1 + len(gear)]
-    found = np.flatnonzero((gear > before) & (gear > after))
+    found = np.flatnonzero((gear >= before) & (gear >= after))
     found = found[found >= REACH]
     edges = np.concatenate(([0], found, [len(codes)]))
     if np.diff(edges).max(initial=0) > LONGEST:
@@ -64,8 +67,9 @@ def cuts(codes: np.ndarray) -> np.ndarray:
     return edges
 
 
-def chunks_of(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Edges of a text's chunks, their digests, and how many words start before each edge."""
+def chunks_of(text: str) -> tuple[np.ndarray, ...]:
+    """Starts and ends of a text's chunks, their digests, how many words start before each start and end, and whether
+    the text has the same chunk before. Equal chunks in a row are one from the second on."""
     codes = codes_of(text)
     edges = cuts(codes)
     raw = memoryview(codes.tobytes())
@@ -75,7 +79,14 @@ def chunks_of(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     starts = ~gap
     starts[1:] &= gap[:-1]
     before = np.concatenate(([0], np.cumsum(starts)))
-    return edges, np.array(digests, np.uint64).view(np.int64), before[edges]
+    digests = np.array(digests, np.uint64).view(np.int64)
+    again = np.ones(len(digests), bool)
+    again[np.unique(digests, return_index=True)[1]] = False
+    opens = np.ones(len(digests), bool)
+    opens[2:] = (digests[2:] != digests[1:-1]) | ~again[1:-1]
+    first = np.flatnonzero(opens)
+    starts, ends = edges[:-1][first], np.append(edges[:-1][first[1:]], edges[-1])
+    return starts, ends, digests[first], before[starts], before[ends], again[first]
 
 
 def chunks(docs: DataFrame) -> DataFrame:
@@ -90,25 +101,22 @@ def chunks(docs: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(t)) for t, c in columns], names)
 
         for batch in batches:
-            parts, held = [], 0
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
-                edges, digests, words = chunks_of(text)
-                again = np.ones(len(digests), bool)
-                again[np.unique(digests, return_index=True)[1]] = False
-                parts.append(
-                    (digests, np.full(len(digests), doc_id), edges[:-1], edges[1:], words[:-1], words[1:], again)
-                )
-                held += len(digests)
-                if held >= ROWS_AT_ONCE:
+            for some in by_bytes(batch):
+                parts, held = [], 0
+                for doc_id, text in zip(some["doc_id"].to_pylist(), some["text"].to_pylist(), strict=True):
+                    starts, ends, digests, words, end_words, again = chunks_of(text)
+                    parts.append((digests, np.full(len(digests), doc_id), starts, ends, words, end_words, again))
+                    held += len(digests)
+                    if held >= ROWS_AT_ONCE:
+                        yield batch_of(parts)
+                        parts, held = [], 0
+                if parts:
                     yield batch_of(parts)
-                    parts, held = [], 0
-            if parts:
-                yield batch_of(parts)
 
     return id_and_text(docs).filter("doc_id is not null and text <> ''").mapInArrow(cut, CHUNKS)
 
 
-def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, min_chars: int = MIN_CHARS) -> DataFrame:
     """Runs of repeated chunks: doc_id, start, length, words, and the documents that keep the text."""
     first = settled(
         chunks(docs)
@@ -137,7 +145,7 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             (F.max("end_word") - F.min("word")).alias("words"),
             F.array_sort(F.collect_set("first_doc_id")).alias("first_doc_ids"),
         )
-        .filter(F.col("words") >= min_words)
+        .filter((F.col("words") >= min_words) | (F.col("length") >= min_chars))
         .drop("run")
     )
 
@@ -179,14 +187,15 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = batch[added].to_pylist()
-            texts = [
-                without_spans(text, [(s["start"], s["length"]) for s in spans]) if spans else text
-                for text, spans in zip(batch["text"].to_pylist(), found, strict=True)
-            ]
             at = batch.schema.get_field_index("text")
-            left = [not spans or bool(text.strip()) for text, spans in zip(texts, found, strict=True)]
-            new = batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
-            yield new.select(names).filter(pa.array(left))
+            for some in by_bytes(batch):
+                found = some[added].to_pylist()
+                texts = [
+                    without_spans(text, [(s["start"], s["length"]) for s in spans]) if spans else text
+                    for text, spans in zip(some["text"].to_pylist(), found, strict=True)
+                ]
+                left = [not spans or bool(text.strip()) for text, spans in zip(texts, found, strict=True)]
+                new = some.set_column(at, some.schema.field(at), pa.array(texts, some.schema.field(at).type))
+                yield new.select(names).filter(pa.array(left))
 
     return counted(docs.join(spans, "doc_id", "left").select(*names, added).mapInArrow(cut, docs.schema))

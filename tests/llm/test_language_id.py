@@ -4,7 +4,7 @@ import random
 import zlib
 
 import numpy as np
-from llm_cases import SF_SMALL, odd_rows, table  # noqa: F401 - fixtures
+from llm_cases import SF_SMALL, odd_rows, table, words  # noqa: F401 - fixtures
 
 from larder.llm import language_id as L
 
@@ -66,3 +66,46 @@ def test_held_out_accuracy(spark):
     out = L.predict_held_out(docs).join(docs.select("doc_id", "lang"), "doc_id").filter("held_out and lang is not null")
     rows = out.collect()
     assert sum(r.lang == r.lang_pred for r in rows) >= 0.95 * len(rows)
+
+
+def test_more_languages_than_a_mask_word_holds(spark, table):
+    """70 labels, each with letters of its own alphabet."""
+    def text(lang, n):
+        return "".join(chr(0x4E00 + 40 * lang + (7 * k + n) % 40) for k in range(120))
+
+    rows = [(100 * lang + n, text(lang, n)) for lang in range(70) for n in range(6)]
+    docs = table(rows, {i: f"l{i // 100:02d}" for i, _ in rows})
+    found = L.predict_held_out(docs).collect()
+    assert len(found) == 420 and all(r.lang_pred == f"l{r.doc_id // 100:02d}" for r in found)
+
+
+def test_equals_counting_by_hand(spark, table):
+    """Filters and decisions against sets of n-grams, computed slot by slot."""
+    rng = random.Random(12)
+    rows = [(i, words(rng, 30) if i % 2 else words(rng, 30).upper().replace("A", "é")) for i in range(40)]
+    docs = table(rows, {i: "ab"[i % 2] for i, _ in rows})
+    model = L.fit(docs)
+    counts = {lang: np.zeros(L.SLOTS, int) for lang in "ab"}
+    grams = dict.fromkeys("ab", 0)
+    for lang in "ab":
+        # texts that a task counts together stand in a row, a gap between them; here one task per language is not certain
+        for i, text in rows:
+            if "ab"[i % 2] == lang:
+                symbols = L.letters_and_gaps(text)
+                first, second = L.slots(symbols)
+                np.add.at(counts[lang], first, 1)
+                np.add.at(counts[lang], second, 1)
+                grams[lang] += len(first)
+    for j, lang in enumerate(model.languages):
+        bits = (model.masks[0] >> np.uint64(j) & np.uint64(1)).astype(bool)
+        plain = counts[lang] >= max(2, L.USUAL_SHARE * grams[lang])
+        assert (bits & ~plain).sum() + (plain & ~bits).sum() <= 0.002 * plain.sum() + 40
+    for _, text in rows[:10]:
+        symbols = L.letters_and_gaps(text)
+        first, second = L.slots(symbols)
+        hits, n = model.hits(text)
+        for j in range(2):
+            held = [bool(model.masks[0][a] >> np.uint64(j) & np.uint64(1)) and bool(model.masks[0][b] >> np.uint64(j) & np.uint64(1)) for a, b in zip(first, second)]
+            assert hits[j] == sum(held) and n == len(first)
+        share = np.clip((hits / n - model.chance) / (1 - model.chance), 0, 1)
+        assert model.decide(text) == (model.languages[int(share.argmax())], float(share.max()))

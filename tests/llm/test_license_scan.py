@@ -47,10 +47,70 @@ def test_base_matches_and_labels(spark, table, odd_rows):
     assert by_id[5].score == 0.0
 
 
+def grant(label, n=0):
+    return [text for found, text, _ in L.TEMPLATES if found == label][n]
+
+
+def test_no_label_is_lost_to_other_words(table):
+    prose = "waived domain binary proprietary confidential redistribution modification conditions forms associated person charge "
+    everything = " ".join(text + " x y" for _, text, _ in L.TEMPLATES)
+    rows = [
+        (1, f"{grant('mit', 2)}. {grant('bsd')}; {grant('isc')}"),
+        (2, prose * 2 + "released under the mit license"),
+        (3, everything),
+        (4, ("waived copyright domain public " * 50_000) + grant("unlicense")),
+        (5, "mit license"),
+    ] + [(100 + i, prose) for i in range(5)]
+    by_id = {r.doc_id: r.labels for r in L.summary(L.scan(table(rows))).collect()}
+    assert by_id[1] == "bsd,isc,mit" and by_id[2] == "mit" and by_id[4] == "unlicense"
+    assert set(by_id[3].split(",")) == {label for label, _, _ in L.TEMPLATES}
+    assert by_id[100] == ""
+
+
+def plain_labels(texts):
+    """The rule read literally, text by text."""
+    split = {i: re.findall(L.WORD, (t or "")) for i, t in texts.items()}
+    split = {i: [w.translate(LOWER) if w.isascii() else w for w in ws] for i, ws in split.items()}
+    frequency = {w: sum(w in ws for ws in split.values()) for w in L.VOCABULARY}
+    out = {}
+    for i, words in split.items():
+        found = set()
+        for label, text, keys in L.TEMPLATES:
+            template = text.split()
+            rarest = sorted(set(template) - L.COMMON, key=lambda w: (frequency[w], w))[: L.RARE_WORDS]
+            at = {}
+            for p, w in enumerate(words):
+                for q, t in enumerate(template):
+                    if w == t and w in rarest:
+                        at.setdefault(p - q, set()).add(q)
+            best = max(map(len, at.values()), default=0)
+            phrases = all(any(words[p : p + len(k.split())] == k.split() for p in range(len(words))) for k in keys)
+            if best >= min(2, len(rarest)) and best >= L.MIN_ALIGNED * len(rarest) and phrases:
+                found.add(label)
+        base = {label for phrase, label in L.BASE.items() if f" {phrase} " in f" {' '.join(words)} "}
+        out[i] = ",".join(sorted(found | base))
+    return out
+
+
+def test_labels_equal_the_plain_rule(table):
+    import random
+
+    rng = random.Random(11)
+    texts = {}
+    for i in range(60):
+        words = [w for _ in range(rng.randint(0, 3)) for w in rng.choice(L.TEMPLATES)[1].split()]
+        words = [rng.choice(L.VOCABULARY) if rng.random() < 0.12 else w for w in words]
+        texts[i] = " ".join(words + [rng.choice(L.VOCABULARY) for _ in range(rng.randint(0, 6))])
+    got = {r.doc_id: r.labels for r in L.summary(L.scan(table(list(texts.items())))).collect()}
+    assert got == plain_labels(texts)
+
+
 def test_empty_table(table):
     assert L.summary(L.scan(table([]))).collect() == []
 
 
 def test_main_path_is_native(table):
+    words = L.licence_words(table(CASES))._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow", words)
     plan = L.summary(L.scan(table(CASES)))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)

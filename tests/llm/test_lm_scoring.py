@@ -72,28 +72,29 @@ def model_of(counts, **parameters):
 def test_model_is_a_distribution():
     """Over all words seen in training and the unseen word, the probabilities after any history add up to 1."""
     rng = np.random.default_rng(1)
-    counts = {bytes([97 + i % 26, 97 + i // 26, 98]): 60 - i for i in range(50)}
+    counts = {bytes([97 + i % 26, 97 + i // 26, 98]): 60 - i for i in range(50)} | {lm.END: 12}
     model = model_of(counts)
     model.class_weights += rng.normal(size=model.class_weights.shape).astype(np.float32)
     model.word_weights += rng.normal(size=model.word_weights.shape).astype(np.float32)
     total = 0.0
     for word in counts:
-        batch = lm.Batch(model, lm.Described(model), [([b"x", b"abb", b"y"], [word])])
-        p = batch.class_shares()[0, batch.groups[0]]
-        if len(batch.inner):
-            p *= batch.word_shares()[0, batch.places[0]]
+        batch = lm.Batch(model, [(b"x abb y" + (b" " + word if word != lm.END else b""), word == lm.END)])
+        p = batch.class_shares()[3, batch.groups[3]]
+        if 3 in batch.inner:
+            at = batch.inner.tolist().index(3)
+            p *= batch.word_shares()[at, batch.places[at]]
         else:
-            p *= (counts[word] + 1) / model.norm / 10 ** model.log_rest[batch.groups[0] - model.classes]
+            p *= (counts[word] + 1) / model.norm / 10 ** model.log_rest[batch.groups[3] - model.classes]
         total += p
-    batch = lm.Batch(model, lm.Described(model), [([b"x", b"abb", b"y"], [b"zzz"])])
-    total += batch.class_shares()[0, model.classes] / model.norm / 10 ** model.log_rest[0]
+    batch = lm.Batch(model, [(b"x abb y zzz", False)])
+    total += batch.class_shares()[3, model.classes] / model.norm / 10 ** model.log_rest[0]
     assert total == pytest.approx(1, abs=1e-4)
 
 
 def test_without_weights_the_score_is_the_base():
     counts = Counter(b"a b c d e f g h i j k l m a b c a b".split())
     model = model_of(counts)
-    batch = lm.Batch(model, lm.Described(model), [([lm.START] * 3, [b"a", b"l", b"b"])])
+    batch = lm.Batch(model, [(b"a l b", False)])
     shares, inner = batch.class_shares(), batch.word_shares()
     assert batch.inner.tolist() == [0, 2]
     for at, place in zip(batch.inner, range(2), strict=True):
@@ -102,17 +103,32 @@ def test_without_weights_the_score_is_the_base():
         assert p == pytest.approx((counts[word] + 1) / model.norm, rel=1e-4)
 
 
-def test_parts_of_a_long_text_keep_their_history(monkeypatch):
-    text = b"one two three four five six seven eight nine"
-    whole = [(n, b, w) for n, b, w, _ in lm.pieces_of(iter([(0, text)]))]
-    monkeypatch.setattr(lm, "TOGETHER", 2)
-    parts = [(n, b, w) for n, b, w, _ in lm.pieces_of(iter([(0, text)]))]
-    flat = [w for _, _, ws in parts for w in ws]
-    assert flat == [w for _, _, ws in whole for w in ws] and flat[-1] == lm.END
-    at = 0
-    for _, before, part in parts:
-        assert before == ([lm.START] * 3 + flat[:at])[-3:]
-        at += len(part)
+def test_parts_of_a_long_text_keep_their_history():
+    model = model_of(Counter(b"one two three".split()))
+    texts = [(0, b"One two"), (1, b"three four five " * 30 + b"w" * 70), (2, None), (3, b"six")]
+    whole, parts = (list(lm.batches_of(model, iter(texts), together)) for together in (1 << 17, 20))
+    assert len(whole) == 1 and len(parts) > 10
+
+    def tokens(found):
+        out = {}
+        for numbers, batch in found:
+            order = np.argsort(batch.owner, kind="stable")
+            for at in order.tolist():
+                kept = (batch.word(at), [int(f[at]) for f in batch.features], int(batch.groups[at]))
+                out.setdefault(numbers[batch.owner[at]], []).append(kept)
+        return out
+
+    assert tokens(whole) == tokens(parts)
+    assert [len(t) for t in tokens(whole).values()] == [3, 92, 1, 2]
+
+
+def test_sums_of_equal_rows():
+    rng = np.random.default_rng(2)
+    rows, values, sums = rng.integers(0, 5, 40), rng.random((40, 3)).astype(np.float32), np.zeros((6, 3), np.float32)
+    lm.add_rows(sums, rows, values)
+    assert np.allclose(sums, [values[rows == r].sum(axis=0) for r in range(6)], atol=1e-5)
+    lm.add_places(sums, np.array([5, 5]), np.array([1, 1]))
+    assert sums[5].tolist() == [0, 2, 0]
 
 
 def test_learns_what_follows(spark):

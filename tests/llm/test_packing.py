@@ -50,14 +50,61 @@ def test_ids_are_the_tokenizers(text):
 
     whole = Tokenizer.from_file(PATH) if not hasattr(test_ids_are_the_tokenizers, "t") else test_ids_are_the_tokenizers.t
     test_ids_are_the_tokenizers.t = whole
-    got = np.frombuffer(packing.word_ids(PATH)(text), "<u4").tolist()
+    got = np.frombuffer(packing.WordIds(PATH)(text), "<u4").tolist()
     assert got == whole.encode(text, add_special_tokens=False).ids
 
 
-def test_table_of_words_starts_anew(monkeypatch):
-    monkeypatch.setattr(packing, "CACHED_WORDS", 5)
+def test_table_of_words_starts_anew():
     text = "one two three four five six one seven eight two"
-    assert packing.WordIds(PATH)(text) == packing.word_ids(PATH)(text)
+    small = packing.WordIds(PATH, limit=700)
+    assert [small(text) for _ in range(3)] == [packing.WordIds(PATH)(text)] * 3
+    assert small.words_bytes <= 700 + 10 * (packing.ENTRY_BYTES + 20)
+
+
+def test_many_words_in_one_call():
+    rng = random.Random(3)
+    parts = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyzßàéöÿ") for _ in range(rng.randint(1, 30))) for _ in range(9000)]
+    table = packing.WordIds(PATH)
+    assert table.letters(parts) == table.others(parts)
+
+
+def plain_best_two_fit(lengths, capacity):
+    """The rule read literally: the longest that fits, again and again; then two for the smallest."""
+    waiting = sorted(((n, -at) for at, n in enumerate(lengths)), reverse=True)
+    bins = []
+    while waiting:
+        held, gap = [], capacity
+        while (fits := [x for x in waiting if x[0] <= gap]) and gap:
+            waiting.remove(fits[0])
+            held.append(fits[0])
+            gap -= fits[0][0]
+        if gap and len(held) > 1:
+            room = gap + held[-1][0]
+            totals = {a[0] + b[0] for i, a in enumerate(waiting) for b in waiting[i + 1 :] if a[0] + b[0] <= room}
+            if totals and max(totals) > held[-1][0]:
+                pair = min(
+                    (min(a[0], b[0]), max(a[0], b[0])) for i, a in enumerate(waiting) for b in waiting[i + 1 :] if a[0] + b[0] == max(totals)
+                )
+                last = held.pop()
+                for n in pair:
+                    held.append(next(x for x in waiting if x[0] == n))
+                    waiting.remove(held[-1])
+                waiting = sorted([*waiting, last], reverse=True)
+        bins.append(sorted(n for n, _ in held))
+    return bins
+
+
+@given(st.lists(st.integers(1, 30), max_size=25))
+@settings(max_examples=150, deadline=None)
+def test_bins_are_those_of_the_plain_rule(lengths):
+    bins = packing.best_two_fit(np.array(lengths, int), 30)
+    assert [sorted(lengths[at] for at in held) for held in bins] == plain_best_two_fit(lengths, 30)
+
+
+def test_pieces_of_equal_length(table):
+    rows = [(i, "a b c") for i in (3, 1, 2)] + [(1, "a b c")]
+    out = sorted((r.sequence_id, r.offset, r.doc_id) for r in packing.pack_documents(table(rows), PATH, capacity=8).collect())
+    assert [i for *_, i in out] == [1, 1, 2, 3] and [o for _, o, _ in out] == [0, 4, 0, 4]
 
 
 def test_pieces_and_places(table, odd_rows, tokenizer):

@@ -48,6 +48,25 @@ def test_stages(spark, table, odd_rows):
     assert all(sum(n for _, n in p) <= 4096 for p in places.values())
 
 
+def test_run(spark):
+    """The whole query: what is packed is what plain steps leave of the documents."""
+    sf_dir = "/root/testdata/sf0.001"
+    places = corpus_pipeline.run(spark, sf_dir).collect()
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    kept = {r.doc_id for r in places}
+    lettered = {i for i, t in docs.items() if t and any(c.isalpha() for c in t)}
+    assert kept <= lettered and len(kept) > 0.5 * len(lettered)
+    exact = defaultdict(list)
+    for i in sorted(lettered):
+        exact[docs[i]].append(i)
+    assert all(not kept & set(same[1:]) for same in exact.values())
+    ends = defaultdict(int)
+    for r in sorted(places, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == ends[r.sequence_id]
+        ends[r.sequence_id] += r.length
+    assert max(ends.values()) <= 4096
+
+
 @pytest.mark.parametrize("rows", [[], [(1, None)]])
 def test_empty_and_rejected(spark, table, rows):
     docs = table(rows)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 
 from llm_cases import SF_SMALL, odd_rows, table  # noqa: F401 - fixtures
@@ -47,6 +48,51 @@ def test_doubling_constants_stay_bounded():
     assert len(S.lexed(text)) <= S.MAX_PARTS
 
 
+def test_literals_of_any_length_and_number_of_parts():
+    rng = random.Random(7)
+    signs = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    for size in (4096, 4097, 4364, 200_000):
+        value = "".join(rng.choice(signs) for _ in range(size))
+        text = f"users:\n  client-key-data: {value}\n"
+        assert [(s.start, s.end) for s in S.lexed(text)] == [(text.index(value), text.index(value) + size)]
+        assert value not in S.mask(text) and S.mask(text).startswith("users:\n  client-key-data: [secret]")
+        assert value not in S.mask(f'k = "{value}"\npassword = k\n')
+    parts = ["".join(rng.choice(signs) for _ in range(8)) for _ in range(70)]
+    spans = S.lexed("private_key = " + " + ".join(f'"{p}"' for p in parts))
+    assert len(spans) == 70
+
+
+def plain_lexed(text):
+    """Assignments of one plain syntax, constants replaced, every name and literal scored."""
+    constants, out = {}, {}
+    for m in re.finditer(r'(?m)^(\w+) = (?:"([^"\n]*)"|(\w+))$', text):
+        place = m.span(2) if m[2] is not None else m.span(3)
+        value, place = constants.get(m[3], (m[3], place)) if m[2] is None else (m[2], place)
+        constants[m[1]] = (value, place)
+        if S.name_score(m[1]) * S.literal_score(value) >= S.MIN_SCORE:
+            out.setdefault(place)
+    return sorted(out)
+
+
+LINES = st.tuples(
+    st.sampled_from(["a", "b", "password", "db_token", "name", "apiKey"]),
+    st.sampled_from(['"x9F!k20Qz"', '"changeme"', '"abc"', '"Zk3#plm8/Qw"', "a", "b", "nobody1"]),
+)
+
+
+@given(st.lists(LINES, max_size=8))
+@settings(max_examples=200, deadline=None)
+def test_lexed_spans_of_plain_assignments(lines):
+    text = "".join(f"{name} = {value}\n" for name, value in lines)
+    assert sorted({(s.start, s.end) for s in S.lexed(text)}) == plain_lexed(text)
+
+
+def test_overlapping_spans_are_all_reported():
+    text = 'api_key = "0123456789abcdef0123456789abcdef"'
+    assert [s.kind for s in S.scan(text)] == ["assign", "hex", "lexed"]
+    assert S.mask(text) == 'api_key = "[secret]"'
+
+
 def test_masking():
     assert S.mask("a password = hunter2xx b") == "a password = [secret] b"
     assert S.mask("plain words") == "plain words" and S.mask(None) is None
