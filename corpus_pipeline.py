@@ -2,6 +2,12 @@
 
 Each stage takes what the one before it kept, as written to the shared folder, and
 its decisions take effect: documents go, texts change, pieces get their places.
+
+Defined results of ``run``: null texts, empty texts and texts without a letter go in the first stage; of repeated rows and
+of rows that share a ``doc_id`` one stays (second stage), rows without ``doc_id`` are neither compared nor cut and stay;
+very long texts are read whole and cut into pieces at the end; of equal texts the smallest ``doc_id`` stays; an
+empty table gives no rows; columns beyond those of documents are carried through the first four stages, whatever their
+names. The tables between the stages lie in the folder of ``spark.checkpoint.dir``, one folder per application.
 """
 
 from __future__ import annotations
