@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from larder.functions.catalogue import PERISHABLE_STORAGE
 from larder.functions.money import cents
-from larder.operators.materialize import checkpointed
-from larder.operators.prefix import attach, id_buckets, ordered_rank
+from larder.operators.prefix import attach, exclusive_totals, id_levels, ordered_rank
 from larder.operators.ranking import MAP_SIDE_RANK, top_rows
-from larder.operators.skew import GROUP_ROWS, large_groups, largest_group
 
 HASH_BITS = 52
+# An order up to this many lines is left to one task's window.
+GROUP_ROWS = 1_000_000
+# Draws of a weighted sample per unit of its histogram, and cells that one coarse cell holds.
+DRAW_CELLS, COARSE_CELLS = 65536, 1024
 
 
 # --- discount allocation ---------------------------------------------------------------
@@ -58,24 +60,23 @@ def allocate_discount(
 
     A line's share is proportional to its subtotal and rounded to cents; the
     cents still missing go to the lines in descending order of (subtotal, item,
-    ties), one each, round after round.
+    ties), one each, round after round. Lines equal in all of these get the same shares in any order.
 
-    An order's lines are handled by windows over the order, which needs a
-    single shuffle. Orders with more than ``group_rows`` lines, if the data
-    has any, take a path that holds no order in one task.
+    Both routes are always in the plan. An order's lines are handled by windows over the order, which need a
+    single shuffle; orders with more than ``group_rows`` lines, if the data has any, are told apart by their
+    count and ranked through buckets that hold no order in one task. Copies of one line
+    are one cell there, with their number, so ``ties`` should tell the lines of an order apart (a line number).
     """
     keep = lines.columns
     goal = targets.select(order, F.col(target).alias("_target"))
-    regular = lines
-    large = None
-    if largest_group(lines, order) > group_rows:
-        hot = large_groups(lines, [order], group_rows)
-        regular, large = lines.join(hot, order, "left_anti"), lines.join(hot, order, "left_semi")
+    # at most rows / group_rows keys
+    large = lines.groupBy(order).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > group_rows).select(order)
 
     whole = Window.partitionBy(order)
     ranked = whole.orderBy(*[F.col(c).desc() for c in (subtotal, item, *ties)])
     shared = (
-        regular.join(goal, order)
+        lines.join(large, order, "left_anti")
+        .join(goal, order)
         # ranked first: the sort by order and subtotal then serves all windows
         .withColumn("_position", F.row_number().over(ranked))
         .withColumn("_gross", F.sum(subtotal).over(whole))
@@ -83,28 +84,32 @@ def allocate_discount(
         .withColumn("_share", _proportional(F.col("_gross") - F.col("_target"), F.col(subtotal), F.col("_gross")))
         .withColumn("_shared", F.sum("_share").over(whole))
     )
-    result = _settle(shared, subtotal, keep)
-    if large is None:
-        return result
-
-    # A stored row id tells copies of a line apart, so that even they spread over tasks.
-    large = checkpointed(large.withColumn("_row", F.monotonically_increasing_id()))
-    totals = large.groupBy(order).agg(F.sum(subtotal).alias("_gross"), F.count(F.lit(1)).alias("_lines"))
-    shares = large.join(totals.join(goal, order), order).withColumn(
-        "_share", _proportional(F.col("_gross") - F.col("_target"), F.col(subtotal), F.col("_gross"))
-    )
-    spread = shares.groupBy(order).agg(F.sum("_share").alias("_shared"))
+
+    many = lines.join(large, order, "left_semi")
+    totals = many.groupBy(order).agg(F.sum(subtotal).alias("_gross"), F.count(F.lit(1)).alias("_lines"))
+    shares = totals.join(goal, order)
+    share = _proportional(F.col("_gross") - F.col("_target"), F.col(subtotal), F.col("_gross"))
+    # equal lines are one cell; the cells of an order are in one order by (subtotal, item, ties)
+    cell = list(dict.fromkeys([order, subtotal, item, *ties]))
+    cells = many.groupBy(*cell).agg(F.count(F.lit(1)).alias("_copies")).join(shares, order).withColumn("_share", share)
+    spread = cells.groupBy(order).agg(F.sum(F.col("_share") * F.col("_copies")).alias("_shared"))
     whole_cents = cents(F.col(subtotal))
-    levels = [F.shiftright(whole_cents, 20), whole_cents, id_buckets(lines, item), F.col(item), *map(F.col, ties)]
-    placed = ordered_rank(
-        shares,
-        [order],
-        [*levels, F.shiftright("_row", 20)],
-        [F.col("_row").desc()],
-        "_position",
-        descending=True,
+    levels = [F.shiftright(whole_cents, 20), whole_cents, *id_levels(lines, item), F.col(item), *map(F.col, ties)]
+    names = [f"_level{i}" for i in range(len(levels))]
+    leveled = cells.select("*", *[c.alias(n) for n, c in zip(names, levels)])
+    before = exclusive_totals(leveled, [order], names, "_copies", "_before", descending=True).drop(*names)
+    placed = before.join(spread, order)
+    # a copy's place among its equals: any order gives the same rows
+    copy = Window.partitionBy(*cell).orderBy(F.lit(1))
+    return _settle(shared, subtotal, keep).unionByName(
+        _settle(
+            many.withColumn("_copy", F.row_number().over(copy))
+            .join(placed.drop("_copies"), cell)
+            .withColumn("_position", F.col("_before") + F.col("_copy")),
+            subtotal,
+            keep,
+        )
     )
-    return result.unionByName(_settle(placed.join(spread, order), subtotal, keep))
 
 
 # --- joins and filters -----------------------------------------------------------------
@@ -178,7 +183,7 @@ def first_of_each(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
 
 def with_unique_sku(df: DataFrame, base: str, key: str, out: str = "sku") -> DataFrame:
     """Number repeated base SKUs: the first, by the unique ``key``, keeps it, later ones get -1, -2, ..."""
-    ranked = ordered_rank(df, [base], [id_buckets(df, key)], [F.col(key)], "_nth")
+    ranked = ordered_rank(df, [base], id_levels(df, key), [F.col(key)], "_nth")
     numbered = F.concat_ws("-", F.col(base), (F.col("_nth") - 1).cast("string"))
     return ranked.withColumn(out, F.when(F.col("_nth") == 1, F.col(base)).otherwise(numbered)).drop("_nth")
 
@@ -218,7 +223,8 @@ def weighted_sample(
     Each row draws -ln(u) / weight and the smallest draws win, which equals
     picking rows one by one with probability proportional to weight. ``key`` is
     unique within a group, and ``share`` the same for all its rows. Rows whose
-    weight is zero, negative or missing count for the size of the sample and are never drawn.
+    weight is zero, negative or missing count for the size of the sample and are never drawn. Only rows of the one
+    cell of the draws' histogram in which a group's cut falls are ranked; smaller draws are kept as they are.
     """
     uniform = (hashed(F.concat_ws(":", F.col(group), F.col(key)), seed) + F.lit(0.5)) / F.lit(float(2**HASH_BITS))
     drawn = (
@@ -226,12 +232,31 @@ def weighted_sample(
         .filter("_weight > 0")
         .withColumn("_draw", -F.ln(uniform) / F.col("_weight"))
     )
-    ranked = ordered_rank(
-        drawn, [group], [F.floor(F.col("_draw") * 65536).cast("bigint")], [F.col("_draw"), F.col(key)], "_nth"
+    # the cut of each group: the cell of the histogram of draws in which the last row of the sample lies
+    cells = (
+        drawn.withColumn("_cell", F.floor(F.col("_draw") * DRAW_CELLS).cast("bigint"))
+        .groupBy(group, "_cell")
+        .agg(F.count(F.lit(1)).alias("_count"))
+        .select("*", F.floor(F.col("_cell") / COARSE_CELLS).alias("_coarse"))
     )
-    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("_rows"))
-    return (
-        attach(ranked, sizes, [group], "_rows")
-        .filter(F.col("_nth") <= F.floor(F.col("_rows") * F.col("_share")))
-        .select(*df.columns)
+    placed = exclusive_totals(cells, [group], ["_coarse", "_cell"], "_count", "_before")
+    # rows of any weight count for the size
+    sizes = df.groupBy(group).agg(F.floor(F.count(F.lit(1)) * F.max(share)).cast("bigint").alias("_size"))
+    crossed = (F.col("_before") < F.col("_size")) & (F.col("_before") + F.col("_count") >= F.col("_size"))
+    cuts = (
+        attach(placed, sizes, [group], "_size")
+        .groupBy(group)
+        .agg(
+            F.max("_size").alias("_size"),
+            F.max(F.when(crossed, F.struct("_cell", (F.col("_size") - F.col("_before")).alias("_left")))).alias("_cut"),
+        )
+        # a sample larger than what can be drawn takes all of it
+        .select(group, F.when(F.col("_size") > 0, F.coalesce("_cut._cell", F.lit(2**62))).otherwise(-1).alias("_last"), "_cut._left")
+    )
+    ends = cuts.select(group, F.struct("_last", "_left").alias("_end"))
+    cut = attach(drawn, ends, [group], "_end").select(
+        "*", "_end._last", "_end._left", F.floor(F.col("_draw") * DRAW_CELLS).cast("bigint").alias("_cell")
     )
+    within = F.row_number().over(Window.partitionBy(group).orderBy("_draw", key))
+    border = cut.filter(F.col("_cell") == F.col("_last")).withColumn("_nth", within).filter(F.col("_nth") <= F.col("_left"))
+    return cut.filter(F.col("_cell") < F.col("_last")).select(*df.columns).union(border.select(*df.columns))

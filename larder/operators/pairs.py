@@ -2,75 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SEED_ITEMS = 64
 BLOCK_ITEMS = 500
-# Below any class of energies.
-ALL_CLASSES = -1_000_000
+# A cell of a basket's grid as one number: row part, then column part.
+PART_BITS = 20
 
 
-def _count_pairs(left: DataFrame, right: DataFrame, keys: list[str], item: str, bar: Column | None = None) -> DataFrame:
-    a, b = left.alias("a"), right.alias("b")
-    match = F.col(f"a.{item}") < F.col(f"b.{item}")
-    for key in keys:
-        match = match & (F.col(f"a.{key}") == F.col(f"b.{key}"))
-    met = a.join(b, match)
-    if bar is not None:
-        met = met.filter(F.col("a.energy") * F.col("b.energy") >= bar)
-    return met.groupBy(F.col(f"a.{item}").alias("item_a"), F.col(f"b.{item}").alias("item_b")).agg(
-        F.sum(F.col("a.copies") * F.col("b.copies")).alias("times")
-    )
-
+def _cells(lines: DataFrame, basket: str, item: str, block_items: int) -> DataFrame:
+    """(basket, item, copies, part, cell): the items of each basket in the cells of its grid.
 
-def _cells(rows: DataFrame, basket: str, item: str, block_items: int, bar: Column) -> DataFrame:
-    """``rows`` with the cells (row, col) of their basket's grid in which they meet others.
-
-    A basket of up to ``block_items`` items is one cell. Items of a wider one are
-    classed by the half-octave of their energy and each class is cut into parts
-    of about ``block_items``. A cell joins one part with another, and only cells
-    whose classes can reach the bar exist; a basket has at most some 130
-    classes, whatever its width.
+    A basket of up to ``block_items`` lines is one cell. The items of a wider one are cut by hash into parts of about
+    ``block_items``; the cell (p, q) with p <= q holds the parts p and q.
     """
-    level = F.floor(F.log2("energy") * 2).cast("int")
-    classed = rows.withColumn("level", level)
-    grid = (
-        classed.groupBy(basket, "level")
-        .agg(F.count(F.lit(1)).alias("items"))
-        .groupBy(basket)
-        .agg(
-            F.sum("items").alias("width"),
-            F.collect_list(
-                F.struct("level", F.ceil(F.col("items") / block_items).cast("int").alias("parts"))
-            ).alias("classes"),
-        )
-    )
-    one_cell = F.array(F.struct(F.lit(0).alias("level"), F.lit(1).alias("parts")))
-    grid = grid.select(
-        basket,
-        (F.col("width") <= block_items).alias("narrow"),
-        F.when(F.col("width") <= block_items, one_cell).otherwise(F.col("classes")).alias("classes"),
-    )
-    # both energies lie below 2^((level + 1) / 2); rounded down, so that no candidate is lost
-    lowest = F.when(bar > 0, F.floor(F.log2(bar) * 2).cast("int") - 3).otherwise(ALL_CLASSES)
-    placed = (
-        classed.join(grid, basket)
-        .withColumn("level", F.when(F.col("narrow"), 0).otherwise(F.col("level")))
-        .withColumn("reach", F.when(F.col("narrow"), ALL_CLASSES).otherwise(lowest - F.col("level")))
-    )
-    mine = F.filter("classes", lambda c: c["level"] == F.col("level"))[0]["parts"]
-    partners = F.flatten(
-        F.transform(
-            F.filter("classes", lambda c: c["level"] >= F.col("reach")),
-            lambda c: F.transform(
-                F.sequence(F.lit(0), c["parts"] - 1), lambda part: F.struct(c["level"].alias("level"), part.alias("part"))
-            ),
-        )
-    )
-    return placed.withColumn("part", F.pmod(F.xxhash64(item), mine).cast("int")).select(
-        basket, item, "copies", "energy", F.struct("level", "part").alias("own"), F.explode(partners).alias("other")
+    # at most rows / block_items baskets
+    parts = F.ceil(F.count(F.lit(1)) / block_items).cast("int")
+    wide = lines.groupBy(basket).agg(parts.alias("parts")).filter("parts > 1")
+    merged = lines.join(wide, basket, "left").groupBy(basket, item).agg(
+        F.count(F.lit(1)).alias("copies"), F.coalesce(F.max("parts"), F.lit(1)).alias("parts")
     )
+    placed = merged.withColumn("part", F.pmod(F.xxhash64(item), "parts").cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    met = placed.select(basket, item, "copies", "part", other.alias("other"))
+    cell = F.shiftleft(F.least("part", "other").cast("bigint"), PART_BITS) + F.greatest("part", "other")
+    return met.select(basket, item, "copies", "part", cell.alias("cell"))
 
 
 def frequent_pairs(
@@ -78,38 +34,31 @@ def frequent_pairs(
     basket: str,
     item: str,
     k: int,
-    seed_items: int = SEED_ITEMS,
     block_items: int = BLOCK_ITEMS,
+    **_earlier_parameters: int,
 ) -> DataFrame:
-    """(item_a, item_b, times) for at least every pair that can reach the ``k`` highest counts.
-
-    ``times`` counts line pairs of one basket, so repeated lines multiply. Ties
-    with the k-th count are all present; the caller ranks and cuts.
+    """(item_a, item_b, times) of the ``k`` pairs found most often; of equal counts the smaller items come first.
 
-    * Repeated lines are merged first, and their counts multiply instead.
-    * With energy(i) = sum over baskets of copies(i)^2, Cauchy-Schwarz bounds a
-      pair by sqrt(energy(a) * energy(b)). The exact k-th count among the
-      ``seed_items`` heaviest items is a floor for the answer, and a pair whose
-      bound lies below that floor is never counted. (If these items have fewer
-      than ``k`` pairs there is no floor.)
-    * A basket wider than ``block_items`` is joined part against part, so no
-      task enumerates more than about block_items^2 pairs of it at a time, and
-      parts whose items cannot reach the floor together never meet.
+    ``times`` counts line pairs of one basket, so repeated lines multiply: they are merged first, and their counts
+    multiply instead.
 
-    All of it is one plan: the floor is a scalar subquery, nothing runs before.
+    The items of a cell are one array of at most about twice ``block_items``, in which each meets those behind it; a pair of two
+    parts meets in their cell alone. So a basket of any width is spread over tasks, and an ordinary one is a
+    single array: no join of baskets with themselves. Pairs are added up on the map side before they move.
     """
-    merged = lines.groupBy(basket, item).agg(F.count(F.lit(1)).alias("copies"))
-    copies = F.col("copies").cast("double")
-    energy = merged.groupBy(item).agg(F.sum(copies * copies).alias("energy"))
-    seeds = energy.orderBy(F.desc("energy"), item).limit(seed_items).select(item)
-    seeded = merged.join(seeds, item, "left_semi")
-    best = _count_pairs(seeded, seeded, [basket], item).orderBy(F.desc("times")).limit(k)
-    floor = best.agg(F.when(F.count(F.lit(1)) == k, F.min("times")).otherwise(0).alias("floor")).scalar().cast("double")
-    # a hair low, so that floating-point error can never drop a true candidate
-    bar = floor * floor * (1 - 1e-9)
-    peak = energy.agg(F.max("energy").alias("peak")).scalar()
-    rows = merged.join(energy.filter(F.col("energy") * peak >= bar), item)
-    met = _cells(rows, basket, item, block_items, bar)
-    left = met.withColumn("row", F.col("own")).withColumn("col", F.col("other"))
-    right = met.withColumn("row", F.col("other")).withColumn("col", F.col("own"))
-    return _count_pairs(left, right, [basket, "row", "col"], item, bar)
+    entry = F.struct(F.col(item).alias("item"), "copies", "part")
+    cells = (
+        _cells(lines, basket, item, block_items)
+        .groupBy(basket, "cell")
+        .agg(F.sort_array(F.collect_list(entry)).alias("items"))
+        .filter(F.size("items") > 1)
+    )
+    one = cells.select("cell", "items", F.posexplode("items").alias("at", "a"))
+    two = one.select("cell", "a", F.explode(F.expr("slice(items, at + 2, size(items))")).alias("b"))
+    # both of one part meet in that part's own cell, not in those it shares
+    row, column = F.shiftright("cell", PART_BITS), F.col("cell").bitwiseAND((1 << PART_BITS) - 1)
+    pairs = two.filter((row == column) | (F.col("a.part") != F.col("b.part")))
+    counted = pairs.groupBy(F.col("a.item").alias("item_a"), F.col("b.item").alias("item_b")).agg(
+        F.sum(F.col("a.copies") * F.col("b.copies")).alias("times")
+    )
+    return counted.orderBy(F.desc("times"), "item_a", "item_b").limit(k)

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BUCKET_BITS = 22
+# Characters of a text id per level of its trie, and levels.
+LEVEL_CHARACTERS, TEXT_LEVELS = 2, 3
 
 
 def level_columns(key: Column, depth: int = 2) -> list[Column]:
@@ -25,13 +27,39 @@ def level_columns(key: Column, depth: int = 2) -> list[Column]:
 
 
 def id_buckets(df: DataFrame, column: str) -> Column:
-    """A coarse bucket of an id that agrees with the id's own order: high bits, or leading characters."""
+    """A coarse bucket of a whole-number id that agrees with the id's own order: its high bits."""
+    kind = df.schema[column].dataType
+    if not isinstance(kind, T.IntegralType):
+        raise TypeError(f"{column}: whole numbers have buckets, not {kind.simpleString()}; see id_levels")
+    return F.shiftright(F.col(column).cast("bigint"), BUCKET_BITS)
+
+
+def common_prefix(df: DataFrame, column: str) -> Column:
+    """Number of characters with which all values of a text column begin: those that the least and the greatest share."""
+    ends = df.agg(F.min(column).alias("a"), F.max(column).alias("z"))
+    differs = F.expr(
+        """CASE WHEN least(length(a), length(z)) > 0 THEN
+            filter(sequence(1, least(length(a), length(z))), i -> substring(a, i, 1) <> substring(z, i, 1))
+            ELSE cast(array() AS array<int>) END"""
+    )
+    shared = F.coalesce(F.array_min(differs) - 1, F.least(F.length("a"), F.length("z")))
+    return F.coalesce(ends.select(shared.alias("n")).scalar(), F.lit(0))
+
+
+def id_levels(df: DataFrame, column: str) -> list[Column]:
+    """Nested buckets of an id, coarse to fine, that agree with the id's own order.
+
+    Whole numbers have their high bits. Texts have a trie below the prefix that all of them share
+    (found in the plan): each level adds ``LEVEL_CHARACTERS`` characters, so a bucket has at most as many
+    buckets below it as there are such strings, however long the shared prefix is.
+    """
     kind = df.schema[column].dataType
     if isinstance(kind, T.IntegralType):
-        return F.shiftright(F.col(column).cast("bigint"), BUCKET_BITS)
-    if isinstance(kind, T.StringType):
-        return F.substring(column, 1, 5)
-    raise TypeError(f"{column}: ids are whole numbers or strings, not {kind.simpleString()}")
+        return [id_buckets(df, column)]
+    if not isinstance(kind, T.StringType):
+        raise TypeError(f"{column}: ids are whole numbers or strings, not {kind.simpleString()}")
+    start = common_prefix(df, column)
+    return [F.col(column).substr(start + 1 + LEVEL_CHARACTERS * k, F.lit(LEVEL_CHARACTERS)) for k in range(TEXT_LEVELS)]
 
 
 def attach(left: DataFrame, right: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
@@ -116,4 +144,4 @@ def ordered_rank(
 
 def sequence_number(df: DataFrame, key: str, out: str = "sequence") -> DataFrame:
     """1-based position of each row in ascending order of a unique id."""
-    return ordered_rank(df, [], [id_buckets(df, key)], [F.col(key)], out)
+    return ordered_rank(df, [], id_levels(df, key), [F.col(key)], out)

@@ -110,16 +110,52 @@ def derived() -> dict[str, str]:
                 + CAST(size * (50 + product_id % 46) // 100 AS INT), '%Y-%m-%d') ELSE 'Not Applicable' END AS expiry_date
         FROM stock JOIN products USING (product_id) WHERE category <> 'SMALL' OR store_id % 2 = 0"""
     )
-    sql["t16_flat_catalogue"] = query(
-        f"""SELECT category, 'size ' || size AS sub_category, brand, 'Popular' AS brand_tier, noun AS item,
-            CAST(NULL AS VARCHAR) AS type, adjective AS variant, flavour, 'pc' AS unit, CAST(size AS DOUBLE) AS size,
-            CAST(size AS DOUBLE) AS price_min, CAST(2 * size AS DOUBLE) AS price_max, 'Ambient' AS storage_type,
-            5 AS gst_percentage, size AS shelf_life_days
-        FROM (SELECT DISTINCT category, size, brand FROM products) JOIN
-            (SELECT DISTINCT category, size, split_part(product_name, ' ', 1) AS adjective,
-                split_part(product_name, ' ', 2) AS noun FROM products) USING (category, size)
+    def catalogue(parts: str) -> str:
+        return f"""SELECT category, 'size ' || base AS sub_category, b.brand_name AS brand, 'Popular' AS brand_tier, noun AS item,
+            CAST(NULL AS VARCHAR) AS type, adjective AS variant, flavour, 'pc' AS unit, CAST(base + more AS DOUBLE) AS size,
+            CAST(base + more AS DOUBLE) AS price_min, CAST(2 * (base + more) AS DOUBLE) AS price_max, 'Ambient' AS storage_type,
+            5 AS gst_percentage, base AS shelf_life_days
+        FROM (SELECT category, brand, size AS base, split_part(product_name, ' ', 1) AS adjective,
+                split_part(product_name, ' ', 2) AS noun, unnest([0, 50]) AS more FROM products WHERE {parts}) p,
+            LATERAL (SELECT unnest([p.brand, 'House']) AS brand_name) b
             JOIN (VALUES ('red', 'plain'), ('red', 'spiced'), (NULL, NULL)) f(colour, flavour)
                 ON (adjective = 'red' AND colour = 'red') OR (adjective <> 'red' AND colour IS NULL)"""
+
+    sql["t16_flat_catalogue"] = query(catalogue("true"))
+    sql["io4_catalogue_parse"] = query(catalogue("product_id % 50 <> 0"))
+    sql["io1_csv_parse"] = query(
+        f"""SELECT order_id AS line, CASE WHEN order_id % 40 <> 0 THEN 'DS, ' || store_id END AS store_id,
+            CASE WHEN order_id % 40 <> 0 THEN ts END AS order_timestamp,
+            CASE WHEN order_id % 40 <> 0 THEN {money('value_c')} END AS total_order_value, order_id % 40 = 0 AS corrupt FROM sales"""
+    )
+    sql["t14_text_batch_id"] = query(
+        """SELECT order_key, ROW_NUMBER() OVER (ORDER BY order_key) AS sequence
+        FROM (SELECT 'ORDER-BATCH-' || printf('%010d', order_id) AS order_key FROM sales)"""
+    )
+    stretch = """SELECT store_id, shelf, line, CAST(SUM(q) OVER w AS BIGINT) - q AS lo, CAST(SUM(q) OVER w AS BIGINT) AS hi
+        FROM (SELECT l_suppkey AS store_id, l_partkey % 20 AS shelf, l_orderkey * 8 + l_linenumber AS line,
+            MIN(CAST(l_shipdate AS DATE)) AS day, CAST(SUM(l_quantity) AS BIGINT) AS q
+            FROM lineitem WHERE l_linestatus = '{}' GROUP BY ALL)
+        WINDOW w AS (PARTITION BY store_id, shelf ORDER BY day, line)"""
+    sql["b1_first_expired_first_out"] = query(
+        """SELECT store_id, shelf, s.line AS batch_id, d.line AS request_id,
+            least(s.hi, d.hi) - greatest(s.lo, d.lo) AS quantity
+        FROM supply s JOIN demand d USING (store_id, shelf) WHERE s.lo < d.hi AND d.lo < s.hi""",
+        supply=stretch.format("F"),
+        demand=stretch.format("O"),
+    )
+    sql["b2_cash_on_delivery_ban"] = query(
+        """SELECT customer_id, MIN(day) AS banned_since, CAST(arg_min(n, day) AS BIGINT) AS within_days
+        FROM (SELECT DISTINCT s.customer_id, s.day, (SELECT COUNT(*) FROM sales r WHERE r.customer_id = s.customer_id
+                AND r.order_status = 'Cancelled' AND r.day BETWEEN s.day - 29 AND s.day) AS n
+            FROM sales s WHERE s.order_status = 'Cancelled') WHERE n >= 2 GROUP BY 1"""
+    )
+    sql["b3_daily_cutoff"] = query(
+        """SELECT store_id, day, orders, event_id AS last_order, ts AS last_at
+        FROM (SELECT user_id % 10 AS store_id, CAST(ts AS DATE) AS day, event_id, ts,
+                ROW_NUMBER() OVER (PARTITION BY user_id % 10, CAST(ts AS DATE) ORDER BY ts, event_id) AS n,
+                COUNT(*) OVER (PARTITION BY user_id % 10, CAST(ts AS DATE)) AS orders FROM events)
+        WHERE n = (9 * (20 + store_id * 3) + 9) // 10"""
     )
     sql["t17_first_combination"] = query(
         """SELECT MIN(product_id) AS product_id, category, brand, product_name, size FROM products GROUP BY ALL"""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from larder.functions.dates import day_of, month_of
 from larder.functions.money import mean, percent, ratio
-from larder.operators.prefix import id_buckets, ordered_rank
+from larder.operators.prefix import id_levels, ordered_rank
 from larder.operators.ranking import top_rows
 from larder.operators.series import with_moving_mean, with_previous, with_running_sum
 from larder.sources.retail import RetailTables
@@ -164,4 +164,4 @@ def active_riders_by_store(t: RetailTables) -> DataFrame:
     Rows instead of an array: a store with very many riders needs no wide row.
     """
     active = t.riders.filter(F.col("rider_status") == "Active").select("store_id", "rider_id")
-    return ordered_rank(active, ["store_id"], [id_buckets(active, "rider_id")], [F.col("rider_id")], "position")
+    return ordered_rank(active, ["store_id"], id_levels(active, "rider_id"), [F.col("rider_id")], "position")

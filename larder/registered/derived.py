@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from larder.functions import catalogue as cat
 from larder.functions import loyalty, ordering, stocking
 from larder.functions.money import money
-from larder.operators import derive
+from larder.operators import derive, fulfil
 from larder.operators.prefix import sequence_number
 from larder.registered.binding import Query, bind
 from larder.registered.quality import stored_products, typed_stores
+from larder.sources import files, schemas
 from larder.sources.testdata import TestTables
 
 VELOCITIES = {"SMALL": "Fast", "MEDIUM": "Medium", "LARGE": "Slow", "PROMO": "Fast"}
@@ -160,39 +161,108 @@ def cold_chain(t: TestTables) -> DataFrame:
 
 
 def catalogue_documents(t: TestTables) -> DataFrame:
-    """Nested catalogues made of the parts: one document per part type and size.
-
-    The lists hold distinct values of small domains (brands, names), so a
-    document stays small however many parts there are.
-    """
+    """Nested catalogues made of the parts: one document per part, of bounded size whatever the table's."""
     words = F.split("product_name", " ")
     flavours = F.when(words[0] == "red", F.array(F.lit("plain"), F.lit("spiced"))).otherwise(F.array())
-    prices = F.struct(
-        F.col("size").cast("decimal(14,2)").alias("min"), (F.col("size") * 2).cast("decimal(14,2)").alias("max")
-    )
-    sizes = F.array(F.struct(F.lit("pc").alias("unit"), F.col("size").cast("decimal(10,2)").alias("value"), prices.alias("price_range")))
+
+    def size(value):
+        prices = F.struct(value.cast("decimal(14,2)").alias("min"), (value * 2).cast("decimal(14,2)").alias("max"))
+        return F.struct(F.lit("pc").alias("unit"), value.cast("decimal(10,2)").alias("value"), prices.alias("price_range"))
+
     item = F.struct(
         words[1].alias("item_name"),
         F.array().cast("array<string>").alias("types"),
         F.array(words[0]).alias("variants"),
         flavours.cast("array<string>").alias("flavours"),
-        sizes.alias("sizes"),
-    )
-    brand = F.struct(F.col("brand").alias("name"), F.lit("Popular").alias("tier"))
-    grouped = t.products.groupBy("category", "size").agg(
-        F.collect_set(brand).alias("brands"), F.collect_set(item).alias("items")
+        F.array(size(F.col("size")), size(F.col("size") + 50)).alias("sizes"),
     )
+    brands = F.array(*[F.struct(b.alias("name"), F.lit("Popular").alias("tier")) for b in (F.col("brand"), F.lit("House"))])
     section = F.struct(
         F.concat(F.lit("size "), F.col("size")).alias("sub_category_name"),
         F.lit("Ambient").alias("storage_type"),
         F.lit(5).alias("gst_percentage"),
         F.col("size").alias("base_shelf_life_days"),
-        "brands",
-        "items",
+        brands.alias("brands"),
+        F.array(item).alias("items"),
+    )
+    return t.products.select(
+        "product_id",
+        F.array(F.struct(F.col("category").alias("category_name"), F.array(section).alias("sub_categories"))).alias("categories"),
+    )
+
+
+def parsed_catalogue(t: TestTables) -> DataFrame:
+    """The same documents from JSON text; every 50th is cut off and yields nothing."""
+    text = F.to_json(F.struct("categories"))
+    broken = F.when(F.col("product_id") % 50 == 0, F.substring(text, 1, 60)).otherwise(text)
+    documents = catalogue_documents(t).select(broken.alias("text"))
+    return derive.flatten_catalogue(files.parse_catalogue(documents, "text"))
+
+
+def parsed_orders(t: TestTables) -> DataFrame:
+    """Orders from CSV records; every 40th has a word for its value and is kept as it came."""
+    value = F.when(F.col("order_id") % 40 == 0, "unknown").otherwise(F.col("total_order_value").cast("string"))
+    fields = {
+        "order_id": F.col("order_id"),
+        "customer_id": F.col("customer_id"),
+        "store_id": F.concat(F.lit('"DS, '), F.col("store_id"), F.lit('"')),
+        "rider_id": F.lit(""),
+        "order_timestamp": F.date_format("order_timestamp", "yyyy-MM-dd'T'HH:mm:ss"),
+        "payment_method": F.col("payment_method"),
+        "order_status": F.col("order_status"),
+        "total_order_value": value,
+    }
+    names = schemas.schema("orders").fieldNames()
+    record = F.concat_ws(",", *[fields.get(n, F.lit("")).cast("string") for n in names])
+    parsed = files.parse_csv(t.orders.select(F.col("order_id").alias("line"), record.alias("record")), "record", "orders")
+    return parsed.select(
+        "line",
+        F.when(F.col(files.CORRUPT).isNull(), F.col("store_id")).alias("store_id"),
+        F.when(F.col(files.CORRUPT).isNull(), F.col("order_timestamp")).alias("order_timestamp"),
+        F.when(F.col(files.CORRUPT).isNull(), F.col("total_order_value")).alias("total_order_value"),
+        F.col(files.CORRUPT).isNotNull().alias("corrupt"),
+    )
+
+
+def text_batch_ids(t: TestTables) -> DataFrame:
+    """Sequence numbers of zero-padded text ids that share a prefix of twelve characters."""
+    text = F.concat(F.lit("ORDER-BATCH-"), F.lpad(F.col("order_id").cast("string"), 10, "0"))
+    return sequence_number(t.orders.select(text.alias("order_key")), "order_key")
+
+
+def allocations(t: TestTables) -> DataFrame:
+    """Shipped lines as batches, open ones as requests, allocated first expired first out."""
+    line = F.col("l_orderkey") * 8 + F.col("l_linenumber")
+    rows = t.raw("lineitem").select(
+        F.col("l_suppkey").alias("store_id"),
+        (F.col("l_partkey") % 20).alias("shelf"),
+        line.cast("bigint").alias("line"),
+        F.to_date("l_shipdate").alias("day"),
+        F.col("l_quantity").cast("bigint").alias("quantity"),
+        "l_linestatus",
     )
-    return grouped.select(
-        F.array(F.struct(F.col("category").alias("category_name"), F.array(section).alias("sub_categories"))).alias("categories")
+    # a line number can come twice in an order
+    rows = rows.groupBy("store_id", "shelf", "line", "l_linestatus").agg(
+        F.min("day").alias("day"), F.sum("quantity").alias("quantity")
+    )
+    supply = rows.filter("l_linestatus = 'F'").withColumnsRenamed({"line": "batch_id", "day": "expiry_date"})
+    demand = rows.filter("l_linestatus = 'O'").withColumnsRenamed({"line": "request_id"})
+    return fulfil.first_expired_first_out(supply, demand, ["store_id", "shelf"])
+
+
+def bans(t: TestTables) -> DataFrame:
+    """Customers with two cancelled orders in thirty days."""
+    cancelled = t.orders.filter("order_status = 'Cancelled'")
+    return fulfil.banned_since(cancelled, "customer_id", F.col("order_timestamp").cast("date"))
+
+
+def cutoffs(t: TestTables) -> DataFrame:
+    """Ten stores of events with capacities of their own: the event that reaches nine tenths of a day's capacity."""
+    events = t.raw("events").select("event_id", "ts", (F.col("user_id") % 10).alias("store_id"))
+    limits = events.sparkSession.range(10).select(
+        F.col("id").alias("store_id"), F.ceil((F.lit(20) + F.col("id") * 3) * 9 / 10).cast("bigint").alias("limit")
     )
+    return fulfil.daily_cutoff(events, limits, "store_id", "ts", "event_id")
 
 
 def flat_catalogue(t: TestTables) -> DataFrame:
@@ -336,6 +406,12 @@ def derived() -> dict[str, Query]:
         "t22_customer_scores": customer_scores,
         "t23_age_range": age_ranges,
         "f16_percent_text": percent_texts,
+        "io1_csv_parse": parsed_orders,
+        "io4_catalogue_parse": parsed_catalogue,
+        "t14_text_batch_id": text_batch_ids,
+        "b1_first_expired_first_out": allocations,
+        "b2_cash_on_delivery_ban": bans,
+        "b3_daily_cutoff": cutoffs,
         "t24_quota_sample": quota_samples,
         "t25_weighted_sample": weighted_samples,
     }

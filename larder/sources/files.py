@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from larder.sources import schemas
 
@@ -53,6 +54,36 @@ def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+# Where a malformed record is kept as it came.
+CORRUPT = "_corrupt_record"
+
+
+def parse_csv(df: DataFrame, column: str, table: str, mode: str = "PERMISSIVE") -> DataFrame:
+    """CSV records in a text column as the declared columns of a table, in place of that column.
+
+    With ``PERMISSIVE`` a record that does not fit the schema has nulls and stands in ``_corrupt_record``; with ``FAILFAST`` it
+    fails the job.
+    """
+    return _parsed(df, column, schemas.schema(table), mode, F.from_csv)
+
+
+def parse_catalogue(df: DataFrame, column: str, mode: str = "PERMISSIVE") -> DataFrame:
+    """Catalogue documents in a JSON text column as nested ``categories``; malformed ones as in ``parse_csv``."""
+    return _parsed(df, column, schemas.catalogue_schema(), mode, F.from_json)
+
+
+def _parsed(df: DataFrame, column: str, schema: T.StructType, mode: str, parse: Callable) -> DataFrame:
+    if mode not in ("PERMISSIVE", "FAILFAST"):
+        raise ValueError(f"unknown mode {mode!r}: use 'PERMISSIVE' or 'FAILFAST'")
+    full = schema if mode == "FAILFAST" else T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    options = {"mode": mode} if mode == "FAILFAST" else {"mode": mode, "columnNameOfCorruptRecord": CORRUPT}
+    text = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in full.fields) if parse is F.from_csv else full
+    others = [F.col(f"`{c}`") for c in df.columns if c != column]
+    return df.select(*others, parse(F.col(column), text, options).alias("_record")).select(
+        *others, *(F.col(f"_record.`{f.name}`") for f in full.fields)
+    )
+
+
 def require_columns(df: DataFrame, columns: Iterable[str], name: str = "table") -> DataFrame:
     """The frame itself, or a ValueError naming the missing columns; reads no data."""
     present = {c.lower() for c in df.columns}

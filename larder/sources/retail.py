@@ -9,8 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from larder.sources import files, schemas
 
 
+# Files whose names differ from their table's.
+CSV_NAMES = {"dark_stores": "darkstores"}
+
+
 class RetailTables:
-    """Retail tables under one folder, ``<folder>/<table>`` as Parquet or ``<table>.csv``.
+    """Retail tables under one folder, ``<folder>/<table>`` as Parquet or ``<table>.csv`` (stores: ``darkstores.csv``).
 
     Frames are made on first use, so a plan opens only the tables it reads.
     Subclasses may bind other physical tables to the same names.
@@ -23,9 +27,18 @@ class RetailTables:
 
     def _table(self, name: str) -> DataFrame:
         if self.fmt == "csv":
-            return files.read_csv(self.spark, name, f"{self.folder}/{name}.csv")
+            return files.read_csv(self.spark, name, self._csv(name))
         return files.read_parquet(self.spark, name, f"{self.folder}/{name}")
 
+    def _csv(self, name: str) -> str:
+        """The table's file; a folder may also hold it under the table's own name."""
+        usual = f"{self.folder}/{CSV_NAMES.get(name, name)}.csv"
+        if name not in CSV_NAMES:
+            return usual
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(usual)
+        there = path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).exists(path)
+        return usual if there else f"{self.folder}/{name}.csv"
+
     @cached_property
     def customers(self) -> DataFrame:
         return self._table("customers")

@@ -112,6 +112,72 @@ def test_sequence_number_of_text_ids(spark):
     }
 
 
+def test_text_ids_have_buckets_of_bounded_size(spark):
+    """Zero-padded ids behind a prefix of twelve characters: no bucket holds more than a hundred of them, in the ids' order."""
+    ids = [f"ORDER-BATCH-{i:06d}" for i in range(0, 20000, 3)]
+    df = spark.createDataFrame([(i,) for i in ids], "id string").repartition(7)
+    assert df.select(prefix.common_prefix(df, "id").alias("n")).first().n == 13
+    levels = prefix.id_levels(df, "id")
+    sizes = df.groupBy(*[c.alias(f"l{n}") for n, c in enumerate(levels[:-1])]).count().collect()
+    assert max(r["count"] for r in sizes) <= 100
+    assert {r.id: r.sequence for r in prefix.sequence_number(df, "id").collect()} == {v: n + 1 for n, v in enumerate(sorted(ids))}
+
+
+def test_odd_text_ids(spark):
+    ids = ["", "a", "ab", "abc", "abcd" * 5, "b", "é", "日本語", "a b"]
+    df = spark.createDataFrame([(i,) for i in ids], "id string").repartition(3)
+    assert {r.id: r.sequence for r in prefix.sequence_number(df, "id").collect()} == {v: n + 1 for n, v in enumerate(sorted(ids))}
+    assert prefix.sequence_number(df.limit(0), "id").collect() == []
+
+
+def test_weighted_sample_takes_the_smallest_draws(spark):
+    """The sample by the histogram's boundary cell is that of ranking every row, whatever the sizes."""
+    df = spark.range(3000).select("id", (F.col("id") % 3).alias("store"))
+    weight = F.when(F.col("id") % 7 == 0, 0.0).otherwise(1.0 + F.col("id") % 5)
+    for share in (0.0, 0.0003, 0.1, 0.5, 0.95):
+        got = {r.id for r in derive.weighted_sample(df, "store", "id", weight, F.lit(share)).collect()}
+        uniform = (derive.hashed(F.concat_ws(":", "store", "id"), 42) + 0.5) / float(2**derive.HASH_BITS)
+        draws = df.filter(weight > 0).select("store", "id", (-F.ln(uniform) / weight).alias("draw")).collect()
+        expected = set()
+        for store in range(3):
+            best = sorted((r.draw, r.id) for r in draws if r.store == store)
+            expected |= {i for _, i in best[: int(1000 * share)]}
+        assert got == expected
+
+
+def test_building_a_plan_runs_no_job(spark):
+    """All queries of the retail part are plans: nothing runs before the result is asked for."""
+    from larder import registered
+
+    context = spark.sparkContext
+    context.setJobGroup("building", "plans only")
+    try:
+        for query in registered.queries().values():
+            query(spark, SF_SMALL)
+        assert list(context.statusTracker().getJobIdsForGroup("building")) == []
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_allocation_in_order_of_expiry(spark):
+    """One shelf holds most of the stock: the same as handing out unit by unit."""
+    import datetime as dt
+
+    from larder.operators import fulfil
+
+    rng = random.Random(6)
+    day = dt.date(2024, 1, 1)
+    def some(n):
+        return [(0 if rng.random() < 0.6 else 1 + i % 3, i, day + dt.timedelta(rng.randint(0, 90)), rng.randint(0, 400)) for i in range(n)]
+    supply, demand = some(60), some(50)
+    units = lambda rows, shelf: [i for _, i, _ in sorted((d, i, q) for s, i, d, q in rows if s == shelf) for _ in range(next(q for s, j, d, q in rows if j == i))]
+    expected = Counter((s, b, r) for s in range(4) for b, r in zip(units(supply, s), units(demand, s)))
+    left = spark.createDataFrame(supply, "shelf long, batch_id long, expiry_date date, quantity long")
+    right = spark.createDataFrame(demand, "shelf long, request_id long, day date, quantity long")
+    found = fulfil.first_expired_first_out(left, right, ["shelf"]).collect()
+    assert {(r.shelf, r.batch_id, r.request_id): r.quantity for r in found} == expected
+
+
 def test_running_total_keeps_peers_together(spark):
     rows = [(1, 5), (2, 5), (3, 3), (4, 9), (5, -2), (6, 9)]
     df = spark.createDataFrame(rows, "id long, amount long")

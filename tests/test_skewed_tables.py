@@ -36,7 +36,7 @@ def skewed(tmp_path_factory):
     return folder, database(folder)
 
 
-@pytest.mark.parametrize("name", [n for n in sorted(QUERIES) if n[0] in "mdp" or n[:3] in ("t08", "t13", "t15", "t17", "t18", "t25")])
+@pytest.mark.parametrize("name", [n for n in sorted(QUERIES) if n[0] in "bmdp" or n[:3] in ("t08", "t13", "t15", "t17", "t18", "t25")])
 def test_hot_keys(name, spark, skewed):
     folder, db = skewed
     assert difference(QUERIES[name](spark, folder), db, TWINS[name]) is None
