@@ -46,6 +46,8 @@ KNOWN = 1 << 17
 FOLDS, HELD_OUT = 7, 2
 #: Words that a task counts or describes before it starts anew, and words scored together.
 REMEMBERED, TOGETHER = 1 << 18, 1 << 14
+#: Words whose features are added up in single precision, where whole numbers are exact up to 16 times as many.
+SETTLED = 1 << 20
 #: Longer words are known by their digest; no word holds a space, so these keys and the end are no words.
 LONGEST = 64
 END, START = b" ", b" start"
@@ -143,8 +145,8 @@ class Model:
 class Described(dict):
     """Numbers of words and what a model says of them; filled as words come, emptied when it is full."""
 
-    def __init__(self, model: Model):
-        self.model = model
+    def __init__(self, model: Model, with_bases: bool = True):
+        self.model, self.with_bases = model, with_bases
         self.words: list[bytes] = []
         self._start()
 
@@ -159,8 +161,9 @@ class Described(dict):
         leaf = model.leaf.get(word, -1)
         self.leaves.append(leaf)
         self.groups.append(leaf // model.width if leaf >= 0 else model.classes + rest_class(word, model.rest))
-        count = model.counts.get(word)
-        self.bases.append(model.log_base(count) if count is not None else math.nan)
+        if self.with_bases:
+            count = model.counts.get(word)
+            self.bases.append(model.log_base(count) if count is not None else math.nan)
         return number
 
     def room(self) -> None:
@@ -170,10 +173,18 @@ class Described(dict):
             self._start()
 
 
+def row_max(values: np.ndarray) -> np.ndarray:
+    """Largest of each row, by halves: rows are short, and whole columns are compared faster."""
+    while values.shape[1] > 1:
+        half = (values.shape[1] + 1) // 2
+        values = np.maximum(values[:, :half], values[:, -half:])
+    return values
+
+
 def softmax(logits: np.ndarray) -> np.ndarray:
-    logits -= logits.max(axis=1, keepdims=True)
+    logits -= row_max(logits)
     np.exp(logits, out=logits)
-    logits /= logits.sum(axis=1, keepdims=True)
+    logits *= (1 / np.einsum("ij->i", logits))[:, None]
     return logits
 
 
@@ -209,30 +220,40 @@ class Batch:
         self.inner = np.flatnonzero(leaves >= 0)
         self.places = leaves[self.inner] % model.width
         mask = np.uint64(model.rows - 1)
-        self.class_rows = [(f & mask).astype(np.uint16 if model.rows <= 1 << 16 else np.int64) for f in self.features]
+        self.class_rows = [(f & mask).astype(np.int64) for f in self.features]
         salt = self.groups[self.inner].astype(np.uint64) * np.uint64(0xA24BAED4963EE407)
-        self.word_rows = [(mixed(f[self.inner] + salt) & mask).astype(self.class_rows[0].dtype) for f in self.features]
+        self.word_rows = [(mixed(f[self.inner] + salt) & mask).astype(np.int64) for f in self.features]
 
     def class_shares(self) -> np.ndarray:
         logits = np.repeat(self.model.class_start[None], len(self.numbers), axis=0)
         for rows in self.class_rows:
-            logits += self.model.class_weights[rows]
+            logits += self.model.class_weights.take(rows, axis=0, mode="clip")
         return softmax(logits)
 
     def word_shares(self) -> np.ndarray:
         logits = self.model.word_start[self.groups[self.inner]]
         for rows in self.word_rows:
-            logits += self.model.word_weights[rows]
+            logits += self.model.word_weights.take(rows, axis=0, mode="clip")
         return softmax(logits)
 
 
-def add_rows(sums: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
-    """``sums[rows] += values`` with equal rows added up."""
-    order = np.argsort(rows, kind="stable")
-    rows = rows[order]
-    starts = np.flatnonzero(np.concatenate(([True], rows[1:] != rows[:-1])))
-    if len(rows):
-        sums[rows[starts]] += np.add.reduceat(values[order], starts, axis=0)
+class Sums:
+    """Sums of features: added up in single precision for a bounded number of words, then in double precision."""
+
+    def __init__(self, shape: tuple[int, int]):
+        self.width, self.columns = shape[1], np.arange(shape[1])
+        self.part, self.whole = np.zeros(shape[0] * shape[1], np.float32), np.zeros(shape)
+
+    def add_ones(self, rows: np.ndarray, places: np.ndarray) -> None:
+        np.add.at(self.part, rows * self.width + places, np.float32(1))
+
+    def add_rows(self, rows: np.ndarray, values: np.ndarray) -> None:
+        # a view of the built-in type: numpy's fast path does not know the equal type of an array that came by pickle
+        np.add.at(self.part, ((rows * self.width)[:, None] + self.columns).ravel(), values.ravel().view(np.float32))
+
+    def settle(self) -> None:
+        self.whole += self.part.reshape(self.whole.shape)
+        self.part[:] = 0
 
 
 def pieces_of(docs: Iterator[tuple[int, bytes | None]]) -> Iterator[tuple[int, list[bytes], list[bytes], bool]]:
@@ -273,24 +294,31 @@ def feature_sums(docs: DataFrame, model: Model) -> tuple[list[np.ndarray], list[
     """Observed and expected features of the given documents under the model."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Described(model)
-        tables = [np.zeros(w.shape, np.float32) for w in (model.class_weights, model.word_weights) for _ in range(2)]
+        known = Described(model, with_bases=False)
+        tables = [Sums(w.shape) for w in (model.class_weights, model.word_weights) for _ in range(2)]
         texts = ((0, raw) for batch in batches for some in by_bytes(batch, limit=1 << 20) for raw in some["text"].to_pylist())
-        any_text = False
+        unsettled, any_text = 0, False
         for held in grouped(pieces_of(texts)):
             any_text = True
             batch = Batch(model, known, [(before, words) for _, before, words in held])
             shares, inner = batch.class_shares(), batch.word_shares()
             for rows in batch.class_rows:
-                np.add.at(tables[0], (rows, batch.groups), np.float32(1))
-                add_rows(tables[1], rows, shares)
+                tables[0].add_ones(rows, batch.groups)
+                tables[1].add_rows(rows, shares)
             for rows in batch.word_rows:
-                np.add.at(tables[2], (rows, batch.places), np.float32(1))
-                add_rows(tables[3], rows, inner)
+                tables[2].add_ones(rows, batch.places)
+                tables[3].add_rows(rows, inner)
+            unsettled += len(batch.numbers)
+            if unsettled >= SETTLED:
+                unsettled = 0
+                for table in tables:
+                    table.settle()
             known.room()
         if any_text:
+            for table in tables:
+                table.settle()
             for part in range(2):
-                seen, meant = tables[2 * part : 2 * part + 2]
+                seen, meant = (table.whole for table in tables[2 * part : 2 * part + 2])
                 for block in range(-(-len(seen) // BLOCK_ROWS)):
                     some = slice(block * BLOCK_ROWS, (block + 1) * BLOCK_ROWS)
                     values = [[part], [block], [seen[some].tobytes()], [meant[some].tobytes()]]
@@ -304,7 +332,7 @@ def feature_sums(docs: DataFrame, model: Model) -> tuple[list[np.ndarray], list[
         for frame in parts:
             for i, column in enumerate(("observed", "expected")):
                 for table in frame[column]:
-                    sums[i] = sums[i] + np.frombuffer(table, np.float32).astype(float)
+                    sums[i] = sums[i] + np.frombuffer(table, float)
         yield pd.DataFrame({"part": [key[0]], "block": [key[1]], "observed": [sums[0].tobytes()], "expected": [sums[1].tobytes()]})
 
     tasks = max(2, docs.sparkSession.sparkContext.defaultParallelism)
