@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.operators import quality as q
+from larder.operators.keyed import orders_and_lines, returns_of_orders, together
 from larder.plans.checks import eligible_products
 from larder.registered.binding import Query, bind
 from larder.sources.testdata import TestTables
@@ -44,55 +45,30 @@ def stored_products(t: TestTables) -> DataFrame:
 
 
 def _report(t: TestTables) -> DataFrame:
-    orders, lines, returns, stock = t.orders, t.order_details, t.returns, t.inventory
-    parts = [
-        q.report(
-            "orders",
-            orders,
+    return together(
+        orders_and_lines(
+            t.orders,
+            t.order_details,
             {
                 "order_timestamp present": F.col("order_timestamp").isNotNull(),
                 "status delivered or failed": F.col("order_status").isin("Delivered", "Failed"),
                 "value in range": F.col("total_order_value").between(1000, 400000),
             },
-            {
-                "order_id unique": q.repeated_keys(orders, ["order_id"]),
-                "customer known": q.orphans(orders, ["customer_id"], t.customers),
-                "lines add up": q.unreconciled(orders, "order_id", "total_order_value", lines, "final_item_price"),
-            },
-        ),
-        q.report(
-            "order_details",
-            lines,
             {"quantity in range": F.col("quantity").between(2, 49), "discount present": F.col("item_discount") > 0},
-            {
-                "product once per order": q.repeated_keys(lines, PAIR),
-                "product known": q.orphans(lines, ["product_id"], t.products),
-            },
-        ),
-        q.report(
-            "returns",
-            returns,
-            {},
-            {
-                "return_id unique": q.repeated_keys(returns, ["return_id"]),
-                "order delivered": q.parent_state(returns, "order_id", orders, "order_status", ["Delivered"]),
-                "return after order": q.early_dates(returns, "order_id", "return_date", orders, "order_timestamp"),
-            },
+            {"customer known": ("customer_id", t.customers)},
+            {"product known": t.products},
         ),
+        returns_of_orders(t.returns, t.orders),
         q.report(
             "inventory",
-            stock,
+            t.inventory,
             {
                 "restock after last": F.col("next_restock_date") > F.col("last_restock_date"),
                 "out of stock is zero": (F.col("inventory_status") != "Out of Stock") | (F.col("current_stock") == 0),
             },
             {},
         ),
-    ]
-    joined = parts[0]
-    for part in parts[1:]:
-        joined = joined.unionByName(part)
-    return joined
+    )
 
 
 def quality() -> dict[str, Query]:
