@@ -265,4 +265,23 @@ def business() -> dict[str, str]:
             (SELECT SUM(value_c) AS total FROM sales)""",
         sums=CUSTOMER_SUMS,
     )
+    placed = "SELECT * FROM sales WHERE ts >= TIMESTAMP '1998-03-15' AND ts < TIMESTAMP '1999-08-10'"
+    sql["io5_period_overview"] = query(
+        f"""SELECT {money('SUM(value_c)')} AS total_revenue, COUNT(*) AS total_orders,
+            COUNT(DISTINCT customer_id) AS active_customers, {div('SUM(value_c)', '100 * COUNT(*)', 2)} AS average_order_value,
+            ANY_VALUE(rets) AS returned_items, {div('100 * ANY_VALUE(rets)', 'ANY_VALUE(nlines)', 2)} AS return_rate_percent
+        FROM placed, (SELECT COUNT(*) AS rets FROM returned WHERE order_id IN (SELECT order_id FROM placed)),
+            (SELECT COUNT(*) AS nlines FROM lines WHERE order_id IN (SELECT order_id FROM placed))""",
+        placed=placed,
+    )
+    sql["io5_period_monthly_orders"] = query(
+        f"""SELECT COUNT(*) AS orders, month AS order_month, {money('SUM(value_c)')} AS monthly_revenue
+        FROM placed GROUP BY month""",
+        placed=placed,
+    )
+    sql["io5_period_monthly_category"] = query(
+        f"""SELECT month, category, {money('SUM(final_c)')} AS total_revenue
+        FROM lines JOIN placed USING (order_id) JOIN products USING (product_id) GROUP BY ALL""",
+        placed=placed,
+    )
     return sql

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from larder.sources.files import Period
 from larder.sources.testdata import TestTables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,9 +25,9 @@ def present(df: DataFrame) -> DataFrame:
     return df.select(*shown)
 
 
-def bind(plan: Callable[..., DataFrame], **params) -> Query:
+def bind(plan: Callable[..., DataFrame], period: Period | None = None, **params) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return present(plan(TestTables(spark, sf_dir), **params))
+        return present(plan(TestTables(spark, sf_dir, period=period), **params))
 
     run.__name__, run.__doc__ = plan.__name__, plan.__doc__
     return run

@@ -5,6 +5,9 @@ from __future__ import annotations
 from larder.plans import customers, products, sales
 from larder.registered.binding import Query, bind
 
+#: A period that starts and ends within a month.
+PERIOD = ("1998-03-15", "1999-08-10")
+
 
 def business() -> dict[str, Query]:
     return {
@@ -52,4 +55,7 @@ def business() -> dict[str, Query]:
         "m8q4_underperformers_again": bind(products.underperformers),
         "m8q4b_repeat_purchase_rate": bind(customers.repeat_purchase_rate),
         "m8q5_top10_share": bind(customers.top_share),
+        "io5_period_overview": bind(sales.overview, period=PERIOD),
+        "io5_period_monthly_orders": bind(sales.monthly_orders, period=PERIOD),
+        "io5_period_monthly_category": bind(sales.category_by_month, period=PERIOD),
     }

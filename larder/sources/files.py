@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,8 +23,44 @@ def read_csv(spark: SparkSession, table: str, path: str) -> DataFrame:
     )
 
 
-def read_parquet(spark: SparkSession, table: str, path: str) -> DataFrame:
-    return spark.read.schema(schemas.schema(table)).parquet(path)
+# A period: the first day in it and the first day after it, as ISO dates; None leaves that side open.
+Period = tuple[str | None, str | None]
+MONTH = "month"
+
+
+def read_parquet(spark: SparkSession, table: str, path: str, period: Period | None = None, timestamp: str = "") -> DataFrame:
+    """The declared columns of a table; of a table written by month, only the months that a period touches are read."""
+    return declared(spark.read.schema(schemas.schema(table)).parquet(path), table, period, timestamp)
+
+
+def declared(df: DataFrame, table: str, period: Period | None = None, timestamp: str = "") -> DataFrame:
+    names = schemas.schema(table).fieldNames()
+    if period is not None:
+        df = in_period(df, timestamp, period, MONTH if MONTH in df.columns and MONTH not in names else None)
+    return df.select(*names)
+
+
+def in_period(df: DataFrame, timestamp: str, period: Period, month: str | None = None) -> DataFrame:
+    """Rows whose timestamp lies in the period, none without one; ``month`` is a column of their months as ``yyyy-MM``."""
+    first, after = (None if d is None else datetime.date.fromisoformat(d) for d in period)
+    kept = df.filter(F.col(timestamp).isNotNull())
+    if first is not None:
+        kept = kept.filter(F.col(timestamp) >= F.lit(first))
+        kept = kept.filter(F.col(month) >= f"{first:%Y-%m}") if month else kept
+    if after is not None:
+        kept = kept.filter(F.col(timestamp) < F.lit(after))
+        kept = kept.filter(F.col(month) <= f"{after - datetime.timedelta(days=1):%Y-%m}") if month else kept
+    return kept
+
+
+def save_bucketed(df: DataFrame, name: str, key: str, buckets: int, month_of: str | None = None) -> None:
+    """A table of the catalog in buckets of a key: tables with the same key and number of buckets join without a shuffle.
+
+    Rows are dealt by the key before the write, so that every bucket is one file (one a month with ``month_of``).
+    """
+    rows = df if month_of is None else df.withColumn(MONTH, F.date_format(month_of, "yyyy-MM"))
+    writer = rows.repartition(buckets, key).write.mode("errorifexists").format("parquet").bucketBy(buckets, key).sortBy(key)
+    (writer if month_of is None else writer.partitionBy(MONTH)).saveAsTable(name)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -40,8 +77,8 @@ def write_parquet(df: DataFrame, path: str, month_of: str | None = None) -> None
     if month_of is None:
         df.write.mode("errorifexists").parquet(path)
         return
-    monthly = df.withColumn("month", F.date_format(month_of, "yyyy-MM"))
-    monthly.hint("rebalance", "month").write.mode("errorifexists").partitionBy("month").parquet(path)
+    monthly = df.withColumn(MONTH, F.date_format(month_of, "yyyy-MM"))
+    monthly.hint("rebalance", MONTH).write.mode("errorifexists").partitionBy(MONTH).parquet(path)
 
 
 def read_catalogue(spark: SparkSession, path: str) -> DataFrame:

@@ -16,19 +16,31 @@ CSV_NAMES = {"dark_stores": "darkstores"}
 class RetailTables:
     """Retail tables under one folder, ``<folder>/<table>`` as Parquet or ``<table>.csv`` (stores: ``darkstores.csv``).
 
+    With the format ``table``, ``folder`` is a database of the catalog (see ``files.save_bucketed``). A ``period`` (first day, first
+    day after; None leaves a side open) keeps the orders placed in it, with their lines and returns; of orders
+    written by month, no other month is read.
+
     Frames are made on first use, so a plan opens only the tables it reads.
     Subclasses may bind other physical tables to the same names.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, fmt: str = "parquet"):
-        if fmt not in ("parquet", "csv"):
-            raise ValueError(f"unknown format {fmt!r}: use 'parquet' or 'csv'")
-        self.spark, self.folder, self.fmt = spark, folder.rstrip("/"), fmt
+    def __init__(self, spark: SparkSession, folder: str, fmt: str = "parquet", period: files.Period | None = None):
+        if fmt not in ("parquet", "csv", "table"):
+            raise ValueError(f"unknown format {fmt!r}: use 'parquet', 'csv' or 'table'")
+        self.spark, self.folder, self.fmt, self.period = spark, folder.rstrip("/"), fmt, period
 
-    def _table(self, name: str) -> DataFrame:
+    def _table(self, name: str, timestamp: str | None = None) -> DataFrame:
+        """A table; one with a ``timestamp`` in the period alone."""
+        period = self.period if timestamp else None
         if self.fmt == "csv":
-            return files.read_csv(self.spark, name, self._csv(name))
-        return files.read_parquet(self.spark, name, f"{self.folder}/{name}")
+            return files.declared(files.read_csv(self.spark, name, self._csv(name)), name, period, timestamp)
+        if self.fmt == "table":
+            return files.declared(self.spark.table(f"{self.folder}.{name}"), name, period, timestamp)
+        return files.read_parquet(self.spark, name, f"{self.folder}/{name}", period, timestamp)
+
+    def _of_period(self, rows: DataFrame) -> DataFrame:
+        """Rows of the orders that the period keeps."""
+        return rows if self.period is None else rows.join(self.orders.select("order_id"), "order_id", "left_semi")
 
     def _csv(self, name: str) -> str:
         """The table's file; a folder may also hold it under the table's own name."""
@@ -62,15 +74,15 @@ class RetailTables:
 
     @cached_property
     def orders(self) -> DataFrame:
-        return self._table("orders")
+        return self._table("orders", "order_timestamp")
 
     @cached_property
     def order_details(self) -> DataFrame:
-        return self._table("order_details")
+        return self._of_period(self._table("order_details"))
 
     @cached_property
     def returns(self) -> DataFrame:
-        return self._table("returns")
+        return self._of_period(self._table("returns"))
 
     @cached_property
     def inventory(self) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.functions.money import money
+from larder.sources.files import in_period
 from larder.sources.retail import RetailTables
 
 SCHEMAS = {
@@ -94,7 +95,10 @@ class TestTables(RetailTables):
             .when(F.col("o_orderstatus") == "O", "Cancelled")
             .otherwise("Failed")
         )
-        return self.raw("orders").select(
+        rows = self.raw("orders")
+        if self.period is not None:
+            rows = in_period(rows, "o_orderdate", self.period)
+        return rows.select(
             F.col("o_orderkey").alias("order_id"),
             F.col("o_custkey").alias("customer_id"),
             (F.col("o_orderkey") % 10).alias("store_id"),
@@ -109,7 +113,7 @@ class TestTables(RetailTables):
     def order_details(self) -> DataFrame:
         gross = money(F.col("l_extendedprice"))
         discount = F.round(gross * F.col("l_discount").cast("decimal(4,2)"), 2).cast("decimal(14,2)")
-        return self.raw("lineitem").select(
+        rows = self.raw("lineitem").select(
             F.col("l_orderkey").alias("order_id"),
             F.col("l_partkey").alias("product_id"),
             F.col("l_linenumber").alias("line_number"),
@@ -118,11 +122,12 @@ class TestTables(RetailTables):
             discount.alias("item_discount"),
             (gross - discount).cast("decimal(14,2)").alias("final_item_price"),
         )
+        return self._of_period(rows)
 
     @cached_property
     def returns(self) -> DataFrame:
         flagged = F.col("l_returnflag") == "R"
-        return self.raw("lineitem").filter(flagged).select(
+        rows = self.raw("lineitem").filter(flagged).select(
             F.concat_ws("-", F.col("l_orderkey"), F.col("l_linenumber")).alias("return_id"),
             F.col("l_orderkey").alias("order_id"),
             F.col("l_partkey").alias("product_id"),
@@ -132,6 +137,7 @@ class TestTables(RetailTables):
             .cast("decimal(14,2)")
             .alias("refund_amount"),
         )
+        return self._of_period(rows)
 
     @cached_property
     def inventory(self) -> DataFrame:

@@ -117,7 +117,7 @@ class Shop(RetailTables):
         super().__init__(spark, "")
         self.rows = {**valid_rows(), **tables}
 
-    def _table(self, name):
+    def _table(self, name, timestamp=None):
         schema = schemas.schema(name)
         rows = [tuple(r[c] for c in schema.fieldNames()) for r in self.rows[name]]
         return self.spark.createDataFrame(rows, schema)

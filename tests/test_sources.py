@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import re
+import uuid
 from decimal import Decimal as D
 
 import pytest
@@ -60,6 +62,46 @@ def test_monthly_files_prune_by_month(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(month" in april._jdf.queryExecution().executedPlan().toString()
 
 
+def test_period_reads_its_months_alone(spark, tmp_path):
+    shop = s.Shop(spark)
+    for name in schemas.TABLE_NAMES:
+        files.write_parquet(getattr(shop, name), str(tmp_path / name), "order_timestamp" if name == "orders" else None)
+    whole = RetailTables(spark, str(tmp_path))
+    assert whole.orders.columns == schemas.schema("orders").fieldNames()
+    days = sorted(r[0].date().isoformat() for r in whole.orders.select("order_timestamp").collect())
+    for period in ((days[0], days[-1]), (days[1], None), (None, days[-1]), (days[0], days[0])):
+        t = RetailTables(spark, str(tmp_path), period=period)
+        plan = t.orders._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"PartitionFilters: \[[^]]*month", plan)
+        kept = [d for d in days if (period[0] or "") <= d < (period[1] or "9")]
+        assert sorted(r[0].date().isoformat() for r in t.orders.select("order_timestamp").collect()) == kept
+        ids = {r.order_id for r in t.orders.collect()}
+        assert {r.order_id for r in t.order_details.collect()} <= ids
+        assert {r.order_id for r in t.returns.collect()} <= ids
+    lines = whole.order_details.count()
+    assert RetailTables(spark, str(tmp_path), period=(None, None)).order_details.count() == lines
+
+
+def test_bucketed_tables_join_without_shuffle(spark, tmp_path, no_broadcast):
+    shop, base = s.Shop(spark), f"shop_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {base} LOCATION '{tmp_path}'")
+    for name in schemas.TABLE_NAMES:
+        if name in ("orders", "order_details"):
+            month = "order_timestamp" if name == "orders" else None
+            files.save_bucketed(getattr(shop, name), f"{base}.{name}", "order_id", 4, month)
+        else:
+            getattr(shop, name).write.saveAsTable(f"{base}.{name}")
+    t = RetailTables(spark, base, "table")
+    joined = t.order_details.join(t.orders, "order_id")
+    assert "Exchange hashpartitioning" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert joined.count() == shop.order_details.join(shop.orders, "order_id").count()
+    assert sales.overview(t).collect() == sales.overview(shop).collect()
+    first = t.orders.selectExpr("date(min(order_timestamp))").first()[0].isoformat()
+    later = RetailTables(spark, base, "table", period=(first, None))
+    assert "Exchange hashpartitioning" not in later.order_details._jdf.queryExecution().executedPlan().toString()
+    assert sales.overview(later).collect() == sales.overview(shop).collect()
+
+
 def test_views_serve_sql(spark):
     s.Shop(spark).register_views("orders", "customers")
     found = spark.sql("""SELECT c.customer_name, SUM(o.total_order_value) AS spent FROM customers c
