@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -68,6 +69,21 @@ def test_many_words_in_one_call():
     assert table.letters(parts) == table.others(parts)
 
 
+def test_letters_reach_the_tokenizer_once_whatever_marks_follow(monkeypatch):
+    rng = random.Random(5)
+    runs = sorted({"".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 12))) for _ in range(300)})
+    marked = [run + mark for run in runs for mark in ("", ".", ",", "$$$", "***")] + [run.upper() + "!" for run in runs]
+    texts = [" ".join(marked[at::7]) for at in range(7)] + [None, ""]
+    seen = []
+    plain = packing.WordIds.plain
+    monkeypatch.setattr(packing.WordIds, "plain", lambda self, parts: seen.extend(parts) or plain(self, parts))
+    table = packing.WordIds(PATH)
+    ids = list(table.of_texts(pa.array(texts)))
+    assert sorted(seen) == runs
+    assert table.plain(runs) == table.letters(runs) == table.others(runs)
+    assert ids == [b"".join(table.others((text or "").split())) for text in texts]
+
+
 def plain_best_two_fit(lengths, capacity):
     """The rule read literally: the longest that fits, again and again; then two for the smallest."""
     waiting = sorted(((n, -at) for at, n in enumerate(lengths)), reverse=True)
