@@ -11,6 +11,8 @@ from larder.operators.prefix import attach, exclusive_totals
 
 #: Units of a group's cumulative axis in which supply meets demand at a time, and ids of a coarse bucket (a power of two).
 STRETCH, ID_BITS = 256, 22
+#: Rows of a group, both sides together, up to which one task takes it whole.
+GROUP_ROWS = 1 << 16
 
 
 def _intervals(df: DataFrame, keys: Sequence[str], first: str, id_: str, quantity: str) -> DataFrame:
@@ -32,6 +34,7 @@ def first_expired_first_out(
     request: str = "request_id",
     day: str = "day",
     quantity: str = "quantity",
+    group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """(keys, batch, request, quantity): units of batches given to requests, earliest expiry to earliest request.
 
@@ -39,16 +42,54 @@ def first_expired_first_out(
     are unique whole numbers, days are dates, quantities whole numbers above zero (others take no part). Where a batch and
     a request cover the same units, these units go from one to the other; what exceeds the other side stays.
 
-    Both orders are prefix sums level by level, and the stretches are cut into pieces of bounded length in which few batches
+    Groups of up to ``GROUP_ROWS`` rows are shuffled once and swept by windows. In larger ones (at most one for so many rows)
+    both orders are prefix sums level by level, and the stretches are cut into pieces of bounded length in which few batches
     and requests can meet, so a group of any size is spread over tasks and no batch meets all requests.
     """
+    named = [(F.lit(0), batch, expiry, supply), (F.lit(1), request, day, demand)]
+    sides = [
+        df.select(*keys, side.alias("_side"), F.col(id_).alias("_id"), F.col(first).alias("_first"), F.col(quantity).alias("_quantity"))
+        .filter("_quantity > 0")
+        .dropna(subset=list(keys))
+        for side, id_, first, df in named
+    ]
+    rows = sides[0].unionByName(sides[1])
+    large = F.broadcast(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > group_rows).select(*keys))
+    small = _swept(rows.join(large, list(keys), "left_anti").repartition(*keys), keys, batch, request)
+    spread = _met(supply.join(large, list(keys), "left_semi"), demand.join(large, list(keys), "left_semi"), keys, batch, expiry, request, day, quantity)
+    return small.unionByName(spread).withColumnRenamed("_units", quantity)
+
+
+def _swept(rows: DataFrame, keys: Sequence[str], batch: str, request: str) -> DataFrame:
+    """(keys, batch, request, _units) of rows that lie together by ``keys``: what begins last on each side covers the units up to
+    where the next row of either side begins, as far as it reaches."""
+    earlier = Window.partitionBy(*keys, "_side").orderBy("_first", "_id").rowsBetween(Window.unboundedPreceding, -1)
+    begun = rows.withColumn("_from", F.coalesce(F.sum("_quantity").over(earlier), F.lit(0)))
+    along = Window.partitionBy(*keys).orderBy("_from", "_side")
+    entry = F.struct(F.col("_id").alias("id"), (F.col("_from") + F.col("_quantity")).alias("end"))
+    last = [F.last(F.when(F.col("_side") == side, entry), ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, 0)) for side in (0, 1)]
+    held = begun.select(*keys, "_from", F.lead("_from").over(along).alias("_next"), last[0].alias("_batch"), last[1].alias("_request"))
+    units = F.least("_next", "_batch.end", "_request.end") - F.col("_from")
+    return (
+        held.filter(F.col("_batch").isNotNull() & F.col("_request").isNotNull())
+        .select(*keys, F.col("_batch.id").alias(batch), F.col("_request.id").alias(request), units.alias("_units"))
+        .filter("_units > 0")
+        .groupBy(*keys, batch, request)
+        .agg(F.sum("_units").cast("bigint").alias("_units"))
+    )
+
+
+def _met(
+    supply: DataFrame, demand: DataFrame, keys: Sequence[str], batch: str, expiry: str, request: str, day: str, quantity: str
+) -> DataFrame:
+    """(keys, batch, request, _units) by stretches that batches and requests share."""
     left = _intervals(supply.select(*keys, batch, expiry, quantity), keys, expiry, batch, quantity)
     right = _intervals(demand.select(*keys, request, day, quantity), keys, day, request, quantity)
     right = right.select(*keys, request, "_stretch", F.col("_from").alias("_since"), F.col("_to").alias("_until"))
     start = F.greatest("_from", "_since", F.col("_stretch") * STRETCH)
     end = F.least("_to", "_until", (F.col("_stretch") + 1) * STRETCH)
     met = left.join(right, [*keys, "_stretch"]).withColumn("_units", end - start).filter("_units > 0")
-    return met.groupBy(*keys, batch, request).agg(F.sum("_units").cast("bigint").alias(quantity))
+    return met.groupBy(*keys, batch, request).agg(F.sum("_units").cast("bigint").alias("_units"))
 
 
 def banned_since(events: DataFrame, key: str, day: Column, times: int = 2, days: int = 30) -> DataFrame:
