@@ -159,6 +159,14 @@ def test_building_a_plan_runs_no_job(spark):
         context.setLocalProperty("spark.jobGroup.id", None)
 
 
+def test_cells_are_dealt_among_tasks_before_they_become_pairs(spark):
+    df = spark.createDataFrame([(b, i) for b in range(30) for i in range(b % 4 + 2)], "basket long, item long")
+    found = pairs.frequent_pairs(df, "basket", "item", 3, tasks=7)
+    plan = found._jdf.queryExecution().toString()
+    assert "hashpartitioning(basket" in plan and ", 7), REPARTITION_BY_NUM" in plan
+    assert [(r.item_a, r.item_b, r.times) for r in found.collect()] == [(0, 1, 30), (0, 2, 22), (1, 2, 22)]
+
+
 def test_allocation_in_order_of_expiry(spark):
     """One shelf holds most of the stock: the same as handing out unit by unit."""
     import datetime as dt
@@ -176,6 +184,9 @@ def test_allocation_in_order_of_expiry(spark):
     right = spark.createDataFrame(demand, "shelf long, request_id long, day date, quantity long")
     found = fulfil.first_expired_first_out(left, right, ["shelf"]).collect()
     assert {(r.shelf, r.batch_id, r.request_id): r.quantity for r in found} == expected
+    for rows in (0, 40, 200):  # every group spread over tasks, some, none
+        again = fulfil.first_expired_first_out(left, right, ["shelf"], group_rows=rows).collect()
+        assert {(r.shelf, r.batch_id, r.request_id): r.quantity for r in again} == expected
 
 
 def test_running_total_keeps_peers_together(spark):
