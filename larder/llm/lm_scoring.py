@@ -25,13 +25,13 @@ from __future__ import annotations
 
 import math
 import zlib
-from array import array
-from collections import Counter
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -44,8 +44,10 @@ ROWS = 1 << 14
 ROUNDS, SMOOTHING = 4, 2.0
 KNOWN = 1 << 17
 FOLDS, HELD_OUT = 7, 2
-#: Words that a task counts or describes before it starts anew, and words scored together.
+#: Different words that a task counts before it starts anew, and words scored together.
 REMEMBERED, TOGETHER = 1 << 18, 1 << 14
+#: Rows of a softmax that are worked on at a time: they stay in a core's cache.
+AT_ONCE = 1 << 11
 #: Words whose features are added up in single precision, where whole numbers are exact up to 16 times as many.
 SETTLED = 1 << 20
 #: Longer words are known by their digest; no word holds a space, so these keys and the end are no words.
@@ -81,25 +83,34 @@ def unigrams(docs: DataFrame) -> DataFrame:
     """(word, count) over all given documents, the end included."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[bytes] = Counter()
+        words: list[bytes] = []
+        held: list[pa.Table] = []
 
-        def counted() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays(
-                [pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())], ["word", "count"]
-            )
-            counts.clear()
-            return out
+        def count() -> None:
+            values, counts = pa.array(words, pa.binary()).value_counts().flatten()
+            held.append(pa.table([values, counts], ["word", "count"]))
+            words.clear()
+
+        def merged() -> pa.Table:
+            sums = pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("count", "sum")])
+            return sums.rename_columns({"count_sum": "count"}).select(["word", "count"])
 
         for batch in batches:
             for some in by_bytes(batch):
-                counts[END] += some.num_rows
+                words.extend(repeat(END, some.num_rows))
                 for raw in some["text"].to_pylist():
-                    for words in word_parts(raw):
-                        counts.update(words)
-                        if len(counts) >= REMEMBERED:
-                            yield counted()
-        if counts:
-            yield counted()
+                    for part in word_parts(raw):
+                        words += part
+                        if len(words) >= REMEMBERED:
+                            count()
+                            if sum(t.num_rows for t in held) >= 2 * REMEMBERED:
+                                held[:] = [merged()]
+                                if held[0].num_rows >= REMEMBERED:
+                                    yield from held.pop().to_batches()
+        if words:
+            count()
+        if held:
+            yield from merged().to_batches()
 
     rows = id_and_bytes(docs).mapInArrow(run, "word binary, count bigint")
     return settled(rows.groupBy("word").agg(F.sum("count").alias("count")), "unigrams")
@@ -142,55 +153,45 @@ class Model:
             weights += (np.log((seen + smoothing) / (meant + smoothing)) / FEATURES).astype(np.float32)
 
 
-class Described(dict):
-    """Numbers of words and what a model says of them; filled as words come, emptied when it is full."""
+class Described:
+    """What a model says of words, whatever their history."""
 
     def __init__(self, model: Model, with_bases: bool = True):
-        self.model, self.with_bases = model, with_bases
-        self.words: list[bytes] = []
-        self._start()
-
-    def _start(self) -> None:
-        self.hashes, self.leaves, self.groups, self.bases = array("Q"), array("i"), array("i"), array("d")
-
-    def __missing__(self, word: bytes) -> int:
-        model, number = self.model, len(self.words)
-        self[word] = number
-        self.words.append(word)
-        self.hashes.append(xxhash.xxh3_64_intdigest(word))
-        leaf = model.leaf.get(word, -1)
-        self.leaves.append(leaf)
-        self.groups.append(leaf // model.width if leaf >= 0 else model.classes + rest_class(word, model.rest))
-        if self.with_bases:
-            count = model.counts.get(word)
-            self.bases.append(model.log_base(count) if count is not None else math.nan)
-        return number
-
-    def room(self) -> None:
-        if len(self.words) >= REMEMBERED:
-            self.clear()
-            self.words.clear()
-            self._start()
+        self.model = model
+        self.leaves = pa.array(model.leaf.keys(), pa.binary())
+        self.bases = {word: model.log_base(count) for word, count in model.counts.items()} if with_bases else {}
+
+    def of(self, column: pa.Array, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Hashes, leaves, groups and bases of different words, given twice; no leaf is -1, no base is nan."""
+        model = self.model
+        hashes = np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, words)), ">u8").astype(np.uint64)
+        leaves = pc.fill_null(pc.index_in(column, self.leaves), -1).to_numpy()
+        tails = pc.binary_slice(column, -2).dictionary_encode()
+        rest = np.array([rest_class(tail, model.rest) for tail in tails.dictionary.to_pylist()], np.int64)
+        groups = np.where(leaves >= 0, leaves // model.width, model.classes + rest[tails.indices.to_numpy()])
+        bases = np.full(len(words), math.nan)
+        if self.bases:
+            bases[:] = np.fromiter(map(self.bases.get, words, repeat(math.nan)), float, len(words))
+        return hashes, leaves, groups, bases
 
 
 def row_max(values: np.ndarray) -> np.ndarray:
-    """Largest of each row, by halves: rows are short, and whole columns are compared faster."""
-    while values.shape[1] > 1:
-        half = (values.shape[1] + 1) // 2
-        values = np.maximum(values[:, :half], values[:, -half:])
-    return values
+    """Largest of each row: rows are short, and whole columns are compared faster."""
+    return values.T.copy().max(axis=0)[:, None]
 
 
-def softmax(logits: np.ndarray) -> np.ndarray:
+def softmax(logits: np.ndarray) -> None:
+    """Changes the rows in place."""
     logits -= row_max(logits)
     np.exp(logits, out=logits)
     logits *= (1 / np.einsum("ij->i", logits))[:, None]
-    return logits
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-    return h ^ (h >> np.uint64(29))
+    h = h ^ (h >> np.uint64(31))
+    h *= np.uint64(0x9E3779B97F4A7C15)
+    h ^= h >> np.uint64(29)
+    return h
 
 
 class Batch:
@@ -199,7 +200,13 @@ class Batch:
     def __init__(self, model: Model, known: Described, pieces: list[tuple[list[bytes], list[bytes]]]):
         """``pieces``: the three words before a piece, and its words."""
         self.model = model
-        numbers = np.fromiter(map(known.__getitem__, (w for before, words in pieces for w in (*before, *words))), np.int64)
+        words = list(chain.from_iterable(chain.from_iterable(pieces)))
+        coded = pa.array(words, pa.binary()).dictionary_encode()
+        numbers, self.words = coded.indices.to_numpy(), coded.dictionary
+        first = np.empty(len(self.words), np.int64)
+        first[numbers[::-1]] = np.arange(len(numbers))[::-1]
+        different = list(map(words.__getitem__, first.tolist()))
+        word_hashes, word_leaves, word_groups, word_bases = known.of(self.words, different)
         self.sizes = np.array([len(words) for _, words in pieces])
         real = np.ones(len(numbers), bool)
         starts = np.cumsum(self.sizes + 3) - self.sizes - 3
@@ -207,7 +214,7 @@ class Batch:
             real[starts + k] = False
         at = np.flatnonzero(real)
         self.numbers = numbers[at]
-        hashes = np.frombuffer(known.hashes, np.uint64)[numbers]
+        hashes = word_hashes[numbers]
         one, two, three = hashes[at - 1], hashes[at - 2], hashes[at - 3]
         self.features = [
             mixed(one),
@@ -215,41 +222,53 @@ class Batch:
             mixed(two + np.uint64(0x94D049BB133111EB)),
             mixed(three + np.uint64(0xD6E8FEB86659FD93)),
         ]
-        self.groups = np.frombuffer(known.groups, np.int32)[self.numbers]
-        leaves = np.frombuffer(known.leaves, np.int32)[self.numbers]
+        self.groups, self.bases = word_groups[self.numbers], word_bases[self.numbers]
+        leaves = word_leaves[self.numbers]
         self.inner = np.flatnonzero(leaves >= 0)
         self.places = leaves[self.inner] % model.width
         mask = np.uint64(model.rows - 1)
-        self.class_rows = [(f & mask).astype(np.int64) for f in self.features]
+        self.class_rows = [(f & mask).view(np.int64) for f in self.features]
         salt = self.groups[self.inner].astype(np.uint64) * np.uint64(0xA24BAED4963EE407)
-        self.word_rows = [(mixed(f[self.inner] + salt) & mask).astype(np.int64) for f in self.features]
+        self.word_rows = [(mixed(f[self.inner] + salt) & mask).view(np.int64) for f in self.features]
 
     def class_shares(self) -> np.ndarray:
-        logits = np.repeat(self.model.class_start[None], len(self.numbers), axis=0)
-        for rows in self.class_rows:
-            logits += self.model.class_weights.take(rows, axis=0, mode="clip")
-        return softmax(logits)
+        starts = np.broadcast_to(self.model.class_start, (len(self.numbers), len(self.model.class_start)))
+        return self._shares(starts, self.model.class_weights, self.class_rows)
 
     def word_shares(self) -> np.ndarray:
-        logits = self.model.word_start[self.groups[self.inner]]
-        for rows in self.word_rows:
-            logits += self.model.word_weights.take(rows, axis=0, mode="clip")
-        return softmax(logits)
+        return self._shares(self.model.word_start[self.groups[self.inner]], self.model.word_weights, self.word_rows)
+
+    @staticmethod
+    def _shares(starts: np.ndarray, weights: np.ndarray, features: list[np.ndarray]) -> np.ndarray:
+        shares = np.empty(starts.shape, np.float32)
+        taken = np.empty((AT_ONCE, starts.shape[1]), np.float32)
+        for at in range(0, len(shares), AT_ONCE):
+            some = slice(at, at + AT_ONCE)
+            logits = shares[some]
+            logits[:] = starts[some]
+            for rows in features:
+                logits += weights.take(rows[some], axis=0, mode="clip", out=taken[: len(logits)])
+            softmax(logits)
+        return shares
 
 
 class Sums:
     """Sums of features: added up in single precision for a bounded number of words, then in double precision."""
 
     def __init__(self, shape: tuple[int, int]):
-        self.width, self.columns = shape[1], np.arange(shape[1])
+        self.width = shape[1]
         self.part, self.whole = np.zeros(shape[0] * shape[1], np.float32), np.zeros(shape)
+        # two neighbours are added as the halves of one complex number
+        self.unit = np.complex64 if self.width % 2 == 0 else np.float32
+        self.columns = np.arange(self.width // 2 if self.width % 2 == 0 else self.width)
 
     def add_ones(self, rows: np.ndarray, places: np.ndarray) -> None:
         np.add.at(self.part, rows * self.width + places, np.float32(1))
 
     def add_rows(self, rows: np.ndarray, values: np.ndarray) -> None:
         # a view of the built-in type: numpy's fast path does not know the equal type of an array that came by pickle
-        np.add.at(self.part, ((rows * self.width)[:, None] + self.columns).ravel(), values.ravel().view(np.float32))
+        at = (rows * len(self.columns))[:, None] + self.columns
+        np.add.at(self.part.view(self.unit), at.ravel(), values.ravel().view(self.unit))
 
     def settle(self) -> None:
         self.whole += self.part.reshape(self.whole.shape)
@@ -313,7 +332,6 @@ def feature_sums(docs: DataFrame, model: Model) -> tuple[list[np.ndarray], list[
                 unsettled = 0
                 for table in tables:
                     table.settle()
-            known.room()
         if any_text:
             for table in tables:
                 table.settle()
@@ -413,7 +431,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
             own = np.log10(np.maximum(shares[np.arange(len(batch.groups)), batch.groups], tiny)).astype(float)
             unseen = np.log10(np.maximum(shares[:, classes], tiny)).astype(float)
             own[batch.inner] += np.log10(np.maximum(inner[np.arange(len(batch.places)), batch.places], tiny))
-            base = np.frombuffer(known.bases, float)[batch.numbers]
+            base = batch.bases
             found = ~np.isnan(base)
             # a known word of a rest class: its unigram share of the class
             outer = found & (batch.groups >= classes)
@@ -435,13 +453,12 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
                 columns = [
                     pa.array(np.array([held[d][0] for d in pairs >> 32], np.int64)),
                     *[pa.nulls(len(pairs), t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())],
-                    pa.array([known.words[w] for w in pairs & 0xFFFFFFFF], pa.binary()),
+                    batch.words.take(pa.array(pairs & 0xFFFFFFFF)),
                     pa.array(times.astype(np.int64)),
                     pa.array(np.bincount(place, own[rare])),
                     pa.array(np.bincount(place, unseen[rare])),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names)
-            known.room()
             yield finished(held[-1][0])
         yield finished(None)
 

@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import sys
 import zlib
 from collections import Counter
 
@@ -102,6 +103,60 @@ def test_without_weights_the_score_is_the_base():
         assert p == pytest.approx((counts[word] + 1) / model.norm, rel=1e-4)
 
 
+def test_a_batch_makes_no_python_call_per_word():
+    words = [b"%daa" % (i % 15_000) for i in range(20_000)]
+    known, calls = lm.Described(model_of(Counter(words[:50]))), 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event == "call"
+
+    sys.setprofile(count)
+    try:
+        batch = lm.Batch(known.model, known, [([lm.START] * 3, words)])
+    finally:
+        sys.setprofile(None)
+    assert calls < 1000
+    assert batch.words.take(batch.numbers).to_pylist() == words
+
+
+@pytest.mark.parametrize("width", [5, 6])
+def test_sums_of_features_are_those_of_single_additions(width):
+    rng = np.random.default_rng(3)
+    rows, values = rng.integers(0, 7, 500), rng.normal(size=(500, width)).astype(np.float32)
+    sums, plain = lm.Sums((8, width)), np.zeros((8, width), np.float32)
+    sums.add_rows(rows, values)
+    for row, value in zip(rows, values, strict=True):
+        plain[row] += value
+    sums.settle()
+    assert (sums.whole == plain).all() and not sums.part.any()
+
+
+def test_shares_do_not_depend_on_how_many_rows_are_worked_on_at_a_time(monkeypatch):
+    rng = np.random.default_rng(4)
+    model = model_of(Counter(b"a b c d e f g h i j k l m a b c a b".split()))
+    model.class_weights += rng.normal(size=model.class_weights.shape).astype(np.float32)
+    model.word_weights += rng.normal(size=model.word_weights.shape).astype(np.float32)
+    batch = lm.Batch(model, lm.Described(model), [([lm.START] * 3, b"a b x c l m a b c d e".split()), ([lm.START] * 3, [])])
+    whole = batch.class_shares(), batch.word_shares()
+    assert all(shares.sum(axis=1) == pytest.approx(1, abs=1e-5) for shares in whole)
+    monkeypatch.setattr(lm, "AT_ONCE", 3)
+    assert all((one == two).all() for one, two in zip(whole, (batch.class_shares(), batch.word_shares()), strict=True))
+
+
+def test_counts_of_more_words_than_a_task_remembers(spark, table):  # noqa: F811
+    """Every word stands three times, a few four times, far apart: their counts meet across what the task gave out."""
+    from pyspark.sql import functions as F
+
+    each, distinct = 4000, 3 * lm.REMEMBERED
+    words = F.expr(f"transform(sequence(0, {each - 1}), i -> concat('w', (id * {each} + i) % {distinct}, ' '))")
+    docs = spark.range(0, 3 * distinct // each + 1, 1, 1).select(F.col("id").alias("doc_id"), F.concat_ws("", words).alias("text"))
+    got = dict(lm.unigrams(docs).groupBy("count").agg(F.count("*")).collect())
+    rows = 3 * distinct // each + 1
+    more = rows * each - 3 * distinct
+    assert got == {3: distinct - more, 4: more, rows: 1}
+
+
 def test_parts_of_a_long_text_keep_their_history(monkeypatch):
     text = b"one two three four five six seven eight nine"
     whole = [(n, b, w) for n, b, w, _ in lm.pieces_of(iter([(0, text)]))]
