@@ -94,6 +94,77 @@ def test_nearest_with_one_vector_in_a_third_of_the_rows(frame):
     assert all(sum(r.query_id == q for r in out) == 20 for q in range(1, 3000, 300))
 
 
+def test_nearest_takes_whole_groups_up_to_its_cut(frame, monkeypatch):
+    """Where a query does not take the whole table: all of the groups up to its cut, exactly, and not all of the table."""
+    monkeypatch.setattr(nearest, "OPENED", 16)
+    monkeypatch.setattr(nearest, "BLOCK", 700)
+    monkeypatch.setattr(nearest, "AT_ONCE", 50)
+    monkeypatch.setattr(nearest, "HELD", 30)
+    monkeypatch.setattr(nearest, "TRIED", 100)
+    taken = []
+    choose = nearest.pivots.choose
+    monkeypatch.setattr(nearest.pivots, "choose", lambda *a: taken.append(choose(*a)) or taken[-1])
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(40, 16))[rng.integers(0, 40, 4000)] + rng.normal(size=(4000, 16)) * 0.4
+    x = np.float32(x).astype(float)
+    x[1000:1100] = x[1000]  # copies, more than are asked for
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    out = nearest.search(frame([*rows, rows[20], rows[3]]), "vec_id % 20 = 0").collect()
+    chosen = taken[0]
+    at = nearest.places(nearest.orders(x, chosen))
+    first = np.argsort(at, axis=1)[:, :2]
+    distinct = np.array([i for i in range(len(x)) if not 1000 < i < 1100])
+    recalled = 0
+    for q in range(0, len(x), 20):
+        distance = at[q][first[:, 0]] + np.abs(at[q][first[:, 1]] - 1)
+        held = np.cumsum(np.bincount(distance[distinct]))
+        cut = np.searchsorted(held, 16 * 62)  # the root of 3901, in whole numbers, is 62
+        assert held[cut] < 3000
+        score = (x * x[q]).sum(axis=1)
+        best = [i for i in np.lexsort((np.arange(len(x)), -score)) if i != q]
+        mine = [(r.vec_id, r.score) for r in sorted(out, key=lambda r: r.rank) if r.query_id == q]
+        assert mine == [(i, score[i]) for i in best if distance[i] <= cut][:20]
+        recalled += len({i for i, _ in mine} & set(best[:20]))
+    assert recalled >= 0.9 * 20 * 200
+
+
+def test_vectors_read_grow_with_the_root_of_the_table():
+    def read(n):
+        groups = np.array([(a, b) for a in range(64) for b in range(64) if a != b])
+        at = nearest.places(np.stack([np.random.default_rng(i).permutation(64) for i in range(20)]))
+        sizes = np.full(len(groups), n // len(groups))
+        cut, files = nearest.cuts(at, groups, sizes, nearest.OPENED * int(sizes.sum() ** 0.5))
+        distance = nearest.footrule(at, groups)
+        assert (files == np.stack([(distance[:, groups[:, 0] == f] <= cut[:, None]).any(axis=1) for f in range(64)], axis=1)).all()
+        return ((distance <= cut[:, None]) @ sizes).mean()
+
+    assert read(16_000_000) < 4.5 * read(1_000_000)
+
+
+def test_nearest_of_doubles(spark, frame):
+    """Doubles that single precision does not hold, in size and in digits; near ties within its error."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(600, 8))
+    x[::3] = x[0] + rng.normal(size=(200, 8)) * 1e-9
+    for scale in (1.0, 1e120):
+        rows = [(i, (v * scale).tolist()) for i, v in enumerate(x)]
+        out = nearest.search(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), "vec_id % 60 = 0").collect()
+        for q in range(0, 600, 60):
+            score = (x * scale * (x[q] * scale)).sum(axis=1)
+            best = [i for i in np.lexsort((np.arange(600), -score)) if i != q][:20]
+            mine = [(r.vec_id, r.score) for r in sorted(out, key=lambda r: r.rank) if r.query_id == q]
+            assert mine == [(i, score[i]) for i in best]
+
+
+def test_nearest_of_rows_that_share_an_id(frame):
+    """Rows of one id are one vector; the same rows in any order give the same answer."""
+    rng = np.random.default_rng(8)
+    rows = [(i % 90, [float(np.float32(x)) for x in rng.normal(size=4)]) for i in range(180)]
+    found = [sorted(map(tuple, nearest.search(frame(r), "vec_id % 20 = 0").collect())) for r in (rows, rows[::-1] + rows[:50])]
+    assert found[0] == found[1] and len(found[0]) == 5 * 20
+    assert len({(q, i) for q, _, i, _ in found[0]}) == 100 and all(q != i for q, _, i, _ in found[0])
+
+
 def test_few_and_no_vectors(frame):
     rows = [(20, [1.0, 0.0]), (40, [0.0, 1.0]), (3, [1.0, 1.0])]
     out = nearest.search(frame(rows), "vec_id % 20 = 0").orderBy("query_id", "rank").collect()
